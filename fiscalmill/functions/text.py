@@ -49,9 +49,11 @@ def safe_double(value: str | Column) -> Column:
 
 
 def decimal_comma(value: str | Column) -> Column:
-    """Indicator text with a decimal comma to double; 'n.d.' and '' are NULL."""
-    known = null_if_in(strip(_column(value).cast("string")), NOT_AVAILABLE, "")
-    return safe_double(F.replace(known, F.lit(","), F.lit(".")))
+    """Indicator text with a decimal comma to double.
+
+    'n.d.' and '' are no numbers, so they become NULL like any other text.
+    """
+    return safe_double(F.replace(strip(_column(value).cast("string")), F.lit(","), F.lit(".")))
 
 
 def grade(value: str | Column, *tokens: str) -> Column:

@@ -1,110 +1,171 @@
 """Order-aware work without a single-task window.
 
-A window without (or with few, large) partitions sorts everything in one task.
-The operators here first cut the ordering columns at sampled quantiles, work
-inside the pieces, and then carry one small row per piece across the cuts.
-The results do not depend on the cuts; only the balance does.
+A window without partitions, or with one group that holds much of the table,
+sorts that share in one task.  The operators here first cut the ordering
+columns at sampled quantiles, work inside the pieces, and then carry one small
+row per piece across the cuts.  The results do not depend on the cuts; only
+the balance does.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 MAX_CUTS = 1023
-_PIECES = "_piece"
+MAX_IMAGES = 8  # cutting levels; they only affect the balance
+_PIECE = "_piece"
+# Text is compared seven bytes at a time (56 bits), up to this many times.
+_TEXT_STEP, _TEXT_STEPS = 7, 3
+
 
+@dataclass(frozen=True)
+class Image:
+    """A number that never falls when the ordering value rises.
+
+    ``exact`` says that equal numbers mean equal values (so far).
+    """
 
-def _image(name: str, kind: T.DataType) -> tuple[Column, str, bool]:
-    """A number that never falls when the value rises, its type, and whether
-    equal numbers always mean equal values."""
+    value: Column
+    kind: str = "bigint"
+    exact: bool = True
+    cuts: tuple | None = None
+
+
+def _images(name: str, kind: T.DataType) -> list[Image]:
+    """Numbers that order the rows as the column does, most significant first."""
     value = F.col(f"`{name}`")
+    if isinstance(kind, T.StringType):
+        data = F.encode(value, "utf-8")
+        images = []
+        for i in range(_TEXT_STEPS):
+            digits = F.rpad(F.hex(F.substring(data, 1 + i * _TEXT_STEP, _TEXT_STEP)), 2 * _TEXT_STEP, "0")
+            images.append(Image(F.conv(digits, 16, 10).cast("bigint")))
+        # Longer texts sort after the one that ends here and stay together.
+        longer = (F.octet_length(data) > _TEXT_STEP * _TEXT_STEPS).cast("bigint")
+        return [*images, Image(longer, cuts=(0,))]
     if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("bigint"), "bigint", True
+        return [Image(F.unix_date(value).cast("bigint"))]
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(value), "bigint", True
+        return [Image(F.unix_micros(value))]
     if isinstance(kind, T.TimestampNTZType):
-        seconds = F.unix_date(value.cast("date")).cast("bigint") * 86400
-        seconds = seconds + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
-        return seconds, "bigint", False
-    if isinstance(kind, T.BooleanType):
-        return value.cast("bigint"), "bigint", True
-    if isinstance(kind, T.IntegralType):
-        return value.cast("bigint"), "bigint", True
+        minutes = F.unix_date(value.cast("date")).cast("bigint") * 1440 + F.hour(value) * 60 + F.minute(value)
+        micros = (F.date_part(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
+        return [Image(minutes * 60_000_000 + micros)]
+    if isinstance(kind, (T.BooleanType, T.IntegralType)):
+        return [Image(value.cast("bigint"))]
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        return [Image((value * 10**kind.scale).cast("bigint"))]
     if isinstance(kind, T.FractionalType):
-        return value.cast("double"), "double", not isinstance(kind, T.DecimalType)
-    if isinstance(kind, T.StringType):
-        # The first six bytes as a number.
-        head = F.hex(F.substring(F.encode(value, "utf-8"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("bigint"), "bigint", False
+        return [Image(value.cast("double"), "double", exact=not isinstance(kind, T.DecimalType))]
     raise TypeError(f"cannot order {name} of type {kind.simpleString()}")
 
 
-def _cut_points(df: DataFrame, columns: list[str], n_cuts: int) -> list[list]:
-    """Distinct quantiles per column: at most ``n_cuts`` numbers each reach the driver."""
+def _all_images(df: DataFrame, order_by: list[str]) -> list[Image]:
+    images: list[Image] = []
+    for column in order_by:
+        images += _images(column, df.schema[column].dataType)
+        if not images[-1].exact:
+            break
+    return images[:MAX_IMAGES]
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Sampled cuts per image, and the groups that hold much of the table."""
+
+    cuts: list[list]
+    hot_groups: list[int]
+
+    def is_hot(self, group_by: list[str]) -> Column:
+        return F.xxhash64(*group_by).isin(self.hot_groups) if group_by else F.lit(True)
+
+
+def sample_layout(df: DataFrame, group_by: list[str], order_by: list[str]) -> Layout:
+    """Quantiles of the ordering numbers and of the group hashes, in one pass.
+
+    At most ``MAX_CUTS`` numbers per sketch reach the driver.  A group with
+    more than two shares of the table shows as a repeated hash quantile.
+    """
+    n_cuts = min(MAX_CUTS, max(7, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     shares = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
-    sketches = [
-        F.percentile_approx(_image(c, df.schema[c].dataType)[0], shares, max(10_000, 20 * n_cuts)).alias(f"_q{i}")
-        for i, c in enumerate(columns)
+
+    def sketch(value: Column) -> Column:
+        return F.percentile_approx(value, shares, max(10_000, 20 * n_cuts))
+
+    images = _all_images(df, order_by)
+    sketches = [sketch(i.value).alias(f"_q{n}") for n, i in enumerate(images) if i.cuts is None]
+    if group_by:
+        sketches.append(sketch(F.xxhash64(*group_by)).alias("_g"))
+    row = df.agg(*sketches).first().asDict()
+    hashes = row.pop("_g", None) or []
+    hot = sorted({a for a, b in zip(hashes, hashes[1:]) if a == b})
+    cuts = [
+        list(image.cuts) if image.cuts is not None else sorted({q for q in (row[f"_q{n}"] or []) if q == q})
+        for n, image in enumerate(images)
     ]
-    row = df.agg(*sketches).first()
-    return [sorted({q for q in (quantiles or []) if q == q}) for quantiles in row]
+    return Layout(cuts, hot)
 
 
-def _with_rank(df: DataFrame, image: Column, kind: str, cuts: list, out: str) -> DataFrame:
+def _with_rank(df: DataFrame, image: Image, cuts: list, out: str) -> DataFrame:
     """Piece number: 2k between cuts, 2k+1 exactly on a cut, -1 for NULL.
 
-    The number of smaller cuts is found by halving steps, one projection each.
+    The cuts lie in chunks: first the chunk is found, then the place in it, so
+    a row is compared with about twice the root of their number.
     """
-    value, below = f"{out}_v", f"{out}_b"
-    df = df.withColumn(value, image).withColumn(below, F.lit(0))
-    on_cut = F.lit(False)
-    if cuts:
-        table = F.lit(cuts).cast(f"array<{kind}>")
-        step = 1 << (len(cuts).bit_length() - 1)
-        while step:
-            probe = F.col(below) + step
-            smaller = (probe <= len(cuts)) & (F.try_element_at(table, probe) < F.col(value))
-            df = df.withColumn(below, F.when(smaller, probe).otherwise(F.col(below)))
-            step //= 2
-        on_cut = F.coalesce(F.try_element_at(table, F.col(below) + 1) == F.col(value), F.lit(False))
-    number = F.when(F.col(value).isNull(), -1).otherwise(F.col(below) * 2 + on_cut.cast("int"))
-    return df.withColumn(out, number).drop(value, below)
-
-
-def with_pieces(df: DataFrame, order_by: list[str]) -> tuple[DataFrame, list[str]]:
+    value, chunk = f"{out}_v", f"{out}_c"
+    df = df.withColumn(value, image.value)
+    if not cuts:
+        return df.withColumn(out, F.when(F.col(value).isNull(), -1).otherwise(0)).drop(value)
+    size = max(1, round(len(cuts) ** 0.5))
+    chunks = [cuts[i : i + size] for i in range(0, len(cuts), size)]
+    number = F.col(value)
+
+    def array(values: list) -> Column:
+        return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{image.kind}>")
+
+    def smaller(values: Column) -> Column:
+        return F.size(F.filter(values, lambda cut: cut < number))
+
+    table = F.array(*[array(c) for c in chunks])
+    inside = F.coalesce(F.try_element_at(table, F.col(chunk) + 1), F.array().cast(f"array<{image.kind}>"))
+    df = df.withColumn(chunk, smaller(array([c[-1] for c in chunks])))
+    place = (F.col(chunk) * size + smaller(inside)) * 2 + F.array_contains(inside, number).cast("int")
+    return df.withColumn(out, F.when(number.isNull(), -1).otherwise(place)).drop(value, chunk)
+
+
+def with_pieces(df: DataFrame, order_by: list[str], layout: Layout) -> tuple[DataFrame, list[str]]:
     """Add piece columns that follow the lexicographic order of ``order_by``.
 
     A value that is itself a cut gets a piece of its own, which the next
-    ordering column then cuts again, so one frequent value cannot fill a task.
+    ordering number then cuts again, so one frequent value cannot fill a task.
     """
-    n_cuts = min(MAX_CUTS, max(7, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    names = []
-    for column, points in zip(order_by, _cut_points(df, order_by, n_cuts)):
-        image, kind, single_valued = _image(column, df.schema[column].dataType)
-        name = f"{_PIECES}{len(names)}"
-        df = _with_rank(df, image, kind, points, name)
+    images = _all_images(df, order_by)
+    names: list[str] = []
+    for image, cuts in zip(images, layout.cuts):
+        name = f"{_PIECE}{len(names)}"
+        df = _with_rank(df, image, cuts, name)
         if names:
             on_cut = F.lit(True)
             for earlier in names:
                 on_cut = on_cut & (F.pmod(F.col(earlier), F.lit(2)) == 1)
             df = df.withColumn(name, F.when(on_cut, F.col(name)).otherwise(0))
         names.append(name)
-        if not single_valued:
-            break
     return df, names
 
 
 def dense_ids(df: DataFrame, order_by: list[str], id_name: str) -> DataFrame:
     """Ids 1..n in the total order of ``order_by``, for any number of rows."""
-    pieced, pieces = with_pieces(df, order_by)
-    # One row per piece: at most (2 * MAX_CUTS + 2) per ordering column level.
+    pieced, pieces = with_pieces(df, order_by, sample_layout(df, [], order_by))
+    # One row per piece, so this window is bounded by the number of cuts.
     sizes = pieced.groupBy(*pieces).agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy(*pieces).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select(*pieces, before.alias("_before"))
-    position = F.row_number().over(Window.partitionBy(*pieces).orderBy(*[F.col(c).asc_nulls_first() for c in order_by]))
+    before = F.sum("_n").over(Window.orderBy(*pieces).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(*pieces, F.coalesce(before, F.lit(0)).alias("_before"))
+    position = F.row_number().over(Window.partitionBy(*pieces).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order_by]))
     numbered = pieced.withColumn("_pos", position).join(offsets, pieces)
     return numbered.select((F.col("_before") + F.col("_pos")).cast("bigint").alias(id_name), *[F.col(f"`{c}`") for c in df.columns])
 
@@ -115,23 +176,32 @@ def small_set_ids(df: DataFrame, order_by: str, id_name: str) -> DataFrame:
     return df.select(number.alias(id_name), *df.columns)
 
 
-def with_neighbour(df: DataFrame, group_by: list[str], order_by: list[str], out: str, following: bool = False) -> DataFrame:
+def with_neighbour(
+    df: DataFrame, group_by: list[str], order_by: list[str], out: str, layout: Layout, following: bool = False
+) -> DataFrame:
     """Add the first ordering column of the previous (or following) row.
 
     Same as ``lag`` / ``lead`` of ``order_by[0]`` over (partition by group_by
-    order by order_by), but a group may hold any share of the rows.
+    order by order_by).  Groups the layout calls hot are cut into pieces, so a
+    group may hold any share of the rows; the others stay whole.
     """
-    target = f"`{order_by[0]}`"
-    pieced, pieces = with_pieces(df, order_by)
+    step = F.lead if following else F.lag
+    target, order = F.col(f"`{order_by[0]}`"), [F.col(f"`{c}`").asc_nulls_first() for c in order_by]
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    if group_by and not layout.hot_groups:
+        window = Window.partitionBy(*[f"`{c}`" for c in group_by]).orderBy(*order)
+        return df.select(*columns, step(target).over(window).alias(out))
+
+    hot = layout.is_hot(group_by)
+    pieced, pieces = with_pieces(df, order_by, layout)
+    pieced = pieced.withColumns({p: F.when(hot, F.col(p)).otherwise(0) for p in pieces})
     # Structs compare NULL fields as equal, so NULL groups join to themselves.
     pieced = pieced.withColumn("_g", F.struct(*group_by) if group_by else F.struct(F.lit(0).alias("_all")))
     keys = ["_g", *pieces]
-    inside = Window.partitionBy(*keys).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order_by])
-    step = F.lead if following else F.lag
-    marked = pieced.withColumn("_near", step(F.struct(F.col(target).alias("v"))).over(inside))
-    # One row per group and piece, so this window is bounded by the pieces.
-    edge = pieced.groupBy(*keys).agg((F.min if following else F.max)(F.col(target)).alias("_edge"))
+    near = step(F.struct(target.alias("v"))).over(Window.partitionBy(*keys).orderBy(*order))
+    # One row per hot group and piece: bounded by the cuts, not by the table.
+    edge = pieced.filter(hot).groupBy(*keys).agg((F.min if following else F.max)(target).alias("_edge"))
     carried = edge.select(*keys, step("_edge").over(Window.partitionBy("_g").orderBy(*pieces)).alias("_carried"))
-    joined = marked.join(carried, keys, "left")
+    joined = pieced.withColumn("_near", near).join(carried, keys, "left")
     value = F.when(F.col("_near").isNotNull(), F.col("_near.v")).otherwise(F.col("_carried"))
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(out))
+    return joined.select(*columns, value.alias(out))

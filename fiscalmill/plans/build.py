@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from fiscalmill.operators.small import checked_broadcast
 from fiscalmill.plans import bronze, gold, insights, silver
@@ -13,6 +17,13 @@ from fiscalmill.sources.files import LayerTables
 Tables = dict[str, DataFrame]
 
 
+def at_once(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]]) -> Tables:
+    """Submit independent table writes together, so one's tail fills with the next."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 def bronze_layer(raw: Tables) -> Tables:
     """Views; nothing is written."""
     return {
@@ -23,46 +34,66 @@ def bronze_layer(raw: Tables) -> Tables:
 
 
 def silver_layer(tables: LayerTables, brz: Tables) -> Tables:
-    ratings = tables.write("silver", "slv_capag_municipios", silver.rating(brz["brz_capag_brasil"]), "ano_base", key=["cod_ibge"])
-    register = tables.write("silver", "slv_cidades", silver.cities(brz["brz_cidades_brasil"]))
-    gdp = tables.write("silver", "slv_pib_municipal", silver.gdp(brz["brz_pib_municipal"]), "ano", key=["cod_ibge"])
-    return {
-        "slv_capag_municipios": ratings,
-        "slv_cidades": register,
-        "slv_pib_municipal": gdp,
-        "slv_dim_uf": tables.write("silver", "slv_dim_uf", silver.dim_state(ratings, register)),
-        "slv_dim_classificacao_capag": tables.write("silver", "slv_dim_classificacao_capag", silver.dim_rating(ratings)),
-    }
+    def write(name: str, df: DataFrame, *layout) -> Callable[[], DataFrame]:
+        return lambda: tables.write("silver", name, df, *layout)
+
+    out = at_once(
+        tables.spark,
+        {
+            "slv_capag_municipios": write("slv_capag_municipios", silver.rating(brz["brz_capag_brasil"]), "ano_base", [], ["cod_ibge"]),
+            "slv_cidades": write("slv_cidades", silver.cities(brz["brz_cidades_brasil"])),
+            "slv_pib_municipal": write("slv_pib_municipal", silver.gdp(brz["brz_pib_municipal"]), "ano", [], ["cod_ibge"]),
+        },
+    )
+    ratings = out["slv_capag_municipios"]
+    dims = at_once(
+        tables.spark,
+        {
+            "slv_dim_uf": write("slv_dim_uf", silver.dim_state(ratings, out["slv_cidades"])),
+            "slv_dim_classificacao_capag": write("slv_dim_classificacao_capag", silver.dim_rating(ratings)),
+        },
+    )
+    return {**out, **dims}
 
 
 def gold_layer(tables: LayerTables, slv: Tables) -> Tables:
     """Each table is computed from stored ones, so no chain is evaluated twice."""
+
+    def write(name: str, df: DataFrame, *layout) -> Callable[[], DataFrame]:
+        return lambda: tables.write("gold", name, df, *layout)
+
     ratings = slv["slv_capag_municipios"]
-    out = {
-        "gld_dim_uf": tables.write("gold", "gld_dim_uf", slv["slv_dim_uf"]),
-        "gld_dim_classificacao_capag": tables.write("gold", "gld_dim_classificacao_capag", slv["slv_dim_classificacao_capag"]),
-        "gld_dim_instituicoes": tables.write("gold", "gld_dim_instituicoes", gold.dim_municipality(slv["slv_cidades"], ratings)),
-    }
+    out = at_once(
+        tables.spark,
+        {
+            "gld_dim_uf": write("gld_dim_uf", slv["slv_dim_uf"]),
+            "gld_dim_classificacao_capag": write("gld_dim_classificacao_capag", slv["slv_dim_classificacao_capag"]),
+            "gld_dim_instituicoes": write("gld_dim_instituicoes", gold.dim_municipality(slv["slv_cidades"], ratings)),
+        },
+    )
     states = checked_broadcast(out["gld_dim_uf"])
     wide = gold.indicators_wide(ratings, states, out["gld_dim_classificacao_capag"])
-    out["gld_fato_indicadores_capag"] = tables.write(
-        "gold", "gld_fato_indicadores_capag", gold.fact_indicators(wide), "ano_base",
-        ["uf_id", "classificacao_capag_id"], ["cod_ibge"],
-    )
-    out["gld_fato_pib_municipal"] = tables.write(
-        "gold", "gld_fato_pib_municipal", gold.fact_gdp(slv["slv_pib_municipal"], states), "ano", ["uf_id"], ["cod_ibge"]
+    out |= at_once(
+        tables.spark,
+        {
+            "gld_fato_indicadores_capag": write(
+                "gld_fato_indicadores_capag", gold.fact_indicators(wide), "ano_base", ["uf_id", "classificacao_capag_id"], ["cod_ibge"]
+            ),
+            "gld_fato_pib_municipal": write(
+                "gld_fato_pib_municipal", gold.fact_gdp(slv["slv_pib_municipal"], states), "ano", ["uf_id"], ["cod_ibge"]
+            ),
+        },
     )
-    risk = tables.write(
-        "gold", "gld_fato_risco_fiscal",
-        gold.fact_risk(wide, out["gld_fato_pib_municipal"], out["gld_dim_instituicoes"]),
-        "ano_base", ["classificacao_risco", "uf"], ["cod_ibge"],
-    )
+    risk = gold.fact_risk(wide, out["gld_fato_pib_municipal"], out["gld_dim_instituicoes"])
+    risk = tables.write("gold", "gld_fato_risco_fiscal", risk, "ano_base", ["classificacao_risco", "uf"], ["cod_ibge"])
     out["gld_fato_risco_fiscal"] = risk
-    out["gld_report_risco_fiscal_municipal"] = tables.write("gold", "gld_report_risco_fiscal_municipal", gold.report_municipal(risk))
-    out["gld_report_tendencia_anual"] = tables.write("gold", "gld_report_tendencia_anual", gold.report_trend(risk))
-    out["gld_report_capag_vs_pib"] = tables.write("gold", "gld_report_capag_vs_pib", gold.report_rating_vs_gdp(risk))
-    out["gld_report_agregacao_estadual"] = tables.write("gold", "gld_report_agregacao_estadual", gold.report_state(risk))
-    return out
+    reports = {
+        "gld_report_risco_fiscal_municipal": gold.report_municipal(risk),
+        "gld_report_tendencia_anual": gold.report_trend(risk),
+        "gld_report_capag_vs_pib": gold.report_rating_vs_gdp(risk),
+        "gld_report_agregacao_estadual": gold.report_state(risk),
+    }
+    return out | at_once(tables.spark, {name: write(name, df) for name, df in reports.items()})
 
 
 def build_all(tables: LayerTables, raw: Tables, ano: int | None = None, gates: bool = True) -> Tables:

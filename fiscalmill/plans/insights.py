@@ -7,9 +7,11 @@ ten, so nothing large reaches one task.
 from __future__ import annotations
 
 import logging
-from datetime import datetime
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -264,14 +266,19 @@ def save_insights(tables: LayerTables, gold: dict[str, DataFrame], ano: int | No
         "trends": lambda: trends(gold["gld_report_tendencia_anual"]),
         "size": lambda: size_vs_risk(gold["gld_report_capag_vs_pib"], ano),
     }
-    rows = []
-    for name, build in builders.items():
+
+    def rows_of(name: str, build) -> list:
         try:
-            rows += build().collect()
+            return build().collect()
         except Exception:
             logger.exception("insight %s failed", name)
+            return []
+
+    with ThreadPoolExecutor(len(builders)) as pool:
+        found = pool.map(inheritable_thread_target(tables.spark)(rows_of), builders.keys(), builders.values())
+        rows = [row for part in found for row in part]
     if not rows:
         return None
-    now = datetime.utcnow()
+    now = datetime.now(timezone.utc)
     values = [tuple(now if f.name == "gerado_em" else r[f.name] for f in SCHEMA) for r in rows]
     return tables.write("gold", TABLE, tables.spark.createDataFrame(values, SCHEMA).coalesce(1))

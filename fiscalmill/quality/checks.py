@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalmill.functions.text import strip
-from fiscalmill.operators.ranges import with_neighbour
+from fiscalmill.operators.ranges import Layout, sample_layout, with_neighbour
 
 N_ROWS = "n_rows"
 
@@ -242,6 +242,25 @@ def columns_match_set(df: DataFrame, columns: list[str]) -> DataFrame:
 # ---- ordered checks: no single-task window --------------------------------
 
 
+def _neighbours(rows: DataFrame, groups: list[str], order: list[str], following: bool) -> DataFrame:
+    """Every distinct row with its neighbour's first ordering column in ``_near``
+    and its number of copies with that neighbour in ``n_rows``.
+
+    All copies of a row but one have a copy of themselves as neighbour.
+    """
+    layout: Layout = sample_layout(rows, groups, order)
+    if groups and not layout.hot_groups:
+        # No group is large: one window, and equal rows fold afterwards.
+        near = with_neighbour(rows, groups, order, "_near", layout, following)
+        return near.groupBy(*near.columns).agg(F.count("*").alias(N_ROWS))
+    folded = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
+    near = with_neighbour(folded, groups, order, "_other", layout, following)
+    other = F.struct(F.col("_other").alias("near"), F.lit(1).cast("bigint").alias("n"))
+    own = F.struct(F.col(order[0]).alias("near"), (F.col("_copies") - 1).alias("n"))
+    both = near.select(*rows.columns, F.explode(F.array(other, own)).alias("_c")).filter("_c.n > 0")
+    return both.select(*rows.columns, F.col("_c.near").alias("_near"), F.col("_c.n").alias(N_ROWS))
+
+
 def mutually_exclusive_ranges(
     df: DataFrame,
     lower: str,
@@ -259,28 +278,18 @@ def mutually_exclusive_ranges(
     if gaps not in touches:
         raise ValueError(f"gaps must be one of {list(touches)}, got {gaps!r}")
     keys = [f"_p{i}" for i in range(len(partition_by or []))]
-    renamed = df.select(
+    ranges = df.select(
         *[F.expr(p).alias(k) for p, k in zip(partition_by or [], keys)],
         F.expr(lower).alias("lower_bound"),
         F.expr(upper).alias("upper_bound"),
     )
-    folded = renamed.groupBy(*renamed.columns).agg(F.count("*").alias(N_ROWS))
-    ordered = with_neighbour(folded, keys, ["lower_bound", "upper_bound"], "next_lower_bound", following=True)
-
-    start, end, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
+    rows = _neighbours(ranges, keys, ["lower_bound", "upper_bound"], following=True)
+    start, end, following = F.col("lower_bound"), F.col("upper_bound"), F.col("_near")
     length_ok = F.coalesce(start <= end if zero_length_range_allowed else start < end, F.lit(False))
-    # All copies but the last are followed by a copy of themselves.
-    copies = F.struct(start.alias("next"), (F.col(N_ROWS) - 1).alias("n"))
-    last = F.struct(following.alias("next"), F.lit(1).cast("bigint").alias("n"))
-    rows = ordered.withColumn("_c", F.explode(F.array(copies, last))).filter("_c.n > 0")
-    # Lower bounds sort NULLs first, so no next lower bound means the last row.
-    next_ok = F.coalesce(touches[gaps](end, F.col("_c.next")), F.col("_c.next").isNull())
+    # NULL bounds sort first and fail anyway: without a next bound a row is the last.
+    next_ok = F.coalesce(touches[gaps](end, following), following.isNull())
     return rows.filter(~(length_ok & next_ok)).select(
-        *[F.col(k).alias(p) for k, p in zip(keys, partition_by or [])],
-        start,
-        end,
-        F.col("_c.next").alias("next_lower_bound"),
-        F.col("_c.n").alias(N_ROWS),
+        *[F.col(k).alias(p) for k, p in zip(keys, partition_by or [])], start, end, following.alias("next_lower_bound"), N_ROWS
     )
 
 
@@ -289,18 +298,10 @@ def sequential_values(
 ) -> DataFrame:
     """Values that are not the previous value of their group plus ``interval``."""
     groups = group_by or []
-    previous = f"previous_{column}"
-    # Unlike a window, folding first leaves every value once per group.
-    folded = df.groupBy(*_quoted(groups), F.col(column)).agg(F.count("*").alias(N_ROWS))
-    ordered = with_neighbour(folded, groups, [column], previous)
-    first = F.struct(F.col(previous).alias("p"), F.lit(1).cast("bigint").alias("n"))
-    copies = F.struct(F.col(column).alias("p"), (F.col(N_ROWS) - 1).alias("n"))
-    rows = ordered.withColumn("_c", F.explode(F.array(first, copies))).filter("_c.n > 0")
+    rows = _neighbours(df.select(*_quoted([*groups, column])), groups, [column], following=False)
     if datepart:
-        expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col("_c.p")).cast("timestamp")
+        expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col("_near")).cast("timestamp")
         bad = F.col(column).cast("timestamp") != expected
     else:
-        bad = F.col(column) != F.col("_c.p") + interval
-    return rows.filter(bad).select(
-        *_quoted(groups), F.col(column), F.col("_c.p").alias(previous), F.col("_c.n").alias(N_ROWS)
-    )
+        bad = F.col(column) != F.col("_near") + interval
+    return rows.filter(bad).select(*_quoted(groups), F.col(column), F.col("_near").alias(f"previous_{column}"), N_ROWS)

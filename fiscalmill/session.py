@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Text cleaning is heavy per byte, so small shuffles keep some parallelism.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A join on (municipality, year) may reuse a layout hashed on municipality
     # alone, so the star joins after the growth window need no new shuffle.
@@ -31,6 +33,9 @@ def build_session(app_name: str = "fiscalmill", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+_local_base: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
@@ -41,6 +46,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="fiscalmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _local_base:
+            _local_base.append(tempfile.mkdtemp(prefix="fiscalmill-"))
+        base = _local_base[0]
     return f"{base.rstrip('/')}/fiscalmill/{label}-{uuid.uuid4().hex}"

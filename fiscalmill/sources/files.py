@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fiscalmill.operators.small import checked_broadcast
+
 RATING_COLUMNS = [
     "instituicao", "cod_ibge", "uf", "populacao",
     "indicador_1", "nota_1", "indicador_2", "nota_2", "indicador_3", "nota_3",
@@ -96,9 +98,13 @@ def years_stored(stored: DataFrame, year: str) -> DataFrame:
 
 
 def new_years_only(incoming: DataFrame, year: str, stored: DataFrame, stored_year: str) -> DataFrame:
-    """Incoming rows whose year the stored table does not hold yet."""
+    """Incoming rows whose year the stored table does not hold yet.
+
+    The years are few, so they are broadcast and a year with most of the rows
+    is not gathered in one task.
+    """
     number = F.trim(F.col(year).cast("string")).try_cast("bigint")
-    have = years_stored(stored, stored_year)
+    have = checked_broadcast(years_stored(stored, stored_year))
     return incoming.withColumn("_year", number).join(have, "_year", "left_anti").select(*incoming.columns)
 
 
