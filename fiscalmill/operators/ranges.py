@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 MAX_CUTS = 1023
-MAX_IMAGES = 8  # cutting levels; they only affect the balance
+MAX_IMAGES = 6  # cutting levels; they only affect the balance
 _PIECE = "_piece"
 # Text is compared seven bytes at a time (56 bits), up to this many times.
 _TEXT_STEP, _TEXT_STEPS = 7, 3
@@ -74,22 +74,34 @@ def _all_images(df: DataFrame, order_by: list[str]) -> list[Image]:
     return images[:MAX_IMAGES]
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Ascending cut points of one number, and those of them that are hot."""
+
+    points: list
+    hot: list
+
+
 @dataclass(frozen=True)
 class Layout:
     """Sampled cuts per image, and the groups that hold much of the table."""
 
-    cuts: list[list]
+    cuts: list[Cuts]
     hot_groups: list[int]
 
     def is_hot(self, group_by: list[str]) -> Column:
         return F.xxhash64(*group_by).isin(self.hot_groups) if group_by else F.lit(True)
 
 
+def _repeated(values: list) -> list:
+    return sorted({a for a, b in zip(values, values[1:]) if a == b})
+
+
 def sample_layout(df: DataFrame, group_by: list[str], order_by: list[str]) -> Layout:
-    """Quantiles of the ordering numbers and of the group hashes, in one pass.
+    """Quantiles of the first ordering number and of the group hashes.
 
-    At most ``MAX_CUTS`` numbers per sketch reach the driver.  A group with
-    more than two shares of the table shows as a repeated hash quantile.
+    At most ``MAX_CUTS`` numbers per sketch reach the driver.  A value or group
+    with more than two shares of the table shows as a repeated quantile.
     """
     n_cuts = min(MAX_CUTS, max(7, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     shares = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
@@ -97,52 +109,55 @@ def sample_layout(df: DataFrame, group_by: list[str], order_by: list[str]) -> La
     def sketch(value: Column) -> Column:
         return F.percentile_approx(value, shares, max(10_000, 20 * n_cuts))
 
-    images = _all_images(df, order_by)
-    sketches = [sketch(i.value).alias(f"_q{n}") for n, i in enumerate(images) if i.cuts is None]
+    first, *rest = _all_images(df, order_by)
+    sketches = [sketch(first.value).alias("_q0")]
     if group_by:
         sketches.append(sketch(F.xxhash64(*group_by)).alias("_g"))
     row = df.agg(*sketches).first().asDict()
-    hashes = row.pop("_g", None) or []
-    hot = sorted({a for a, b in zip(hashes, hashes[1:]) if a == b})
-    cuts = [
-        list(image.cuts) if image.cuts is not None else sorted({q for q in (row[f"_q{n}"] or []) if q == q})
-        for n, image in enumerate(images)
-    ]
-    return Layout(cuts, hot)
+    cuts = [_cuts(first, row["_q0"])]
+    if cuts[0].hot and rest:
+        # Only a hot first value needs the later ordering numbers.
+        later = df.agg(*[sketch(i.value).alias(f"_q{n}") for n, i in enumerate(rest)]).first()
+        for image, quantiles in zip(rest, later):
+            cuts.append(_cuts(image, quantiles))
+            if not cuts[-1].hot:
+                break
+    return Layout(cuts, _repeated(row.get("_g") or []))
 
 
-def _with_rank(df: DataFrame, image: Image, cuts: list, out: str) -> DataFrame:
-    """Piece number: 2k between cuts, 2k+1 exactly on a cut, -1 for NULL.
+def _cuts(image: Image, quantiles: list | None) -> Cuts:
+    if image.cuts is not None:
+        return Cuts(list(image.cuts), list(image.cuts))
+    known = [q for q in quantiles or [] if q == q]
+    return Cuts(sorted(set(known)), _repeated(known) if image.exact else [])
 
-    The cuts lie in chunks: first the chunk is found, then the place in it, so
-    a row is compared with about twice the root of their number.
-    """
-    value, chunk = f"{out}_v", f"{out}_c"
-    df = df.withColumn(value, image.value)
-    if not cuts:
-        return df.withColumn(out, F.when(F.col(value).isNull(), -1).otherwise(0)).drop(value)
-    size = max(1, round(len(cuts) ** 0.5))
-    chunks = [cuts[i : i + size] for i in range(0, len(cuts), size)]
-    number = F.col(value)
 
-    def array(values: list) -> Column:
-        return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{image.kind}>")
+def _with_rank(df: DataFrame, image: Image, cuts: Cuts, out: str) -> DataFrame:
+    """Piece number: 2k below the k-th cut, 2k+1 on a hot value, -1 for NULL.
 
-    def smaller(values: Column) -> Column:
-        return F.size(F.filter(values, lambda cut: cut < number))
-
-    table = F.array(*[array(c) for c in chunks])
-    inside = F.coalesce(F.try_element_at(table, F.col(chunk) + 1), F.array().cast(f"array<{image.kind}>"))
-    df = df.withColumn(chunk, smaller(array([c[-1] for c in chunks])))
-    place = (F.col(chunk) * size + smaller(inside)) * 2 + F.array_contains(inside, number).cast("int")
-    return df.withColumn(out, F.when(number.isNull(), -1).otherwise(place)).drop(value, chunk)
+    The number of smaller cuts is found by halving steps, one projection each,
+    which stay inside generated code.
+    """
+    value, below = f"{out}_v", f"{out}_b"
+    df = df.withColumn(value, image.value).withColumn(below, F.lit(0))
+    number, points = F.col(value), cuts.points
+    if points:
+        table = F.split(F.lit(",".join(map(repr, points))), ",").cast(f"array<{image.kind}>")
+        step = 1 << (len(points).bit_length() - 1)
+        while step:
+            probe = F.col(below) + step
+            smaller = (probe <= len(points)) & (F.try_element_at(table, probe) < number)
+            df = df.withColumn(below, F.when(smaller, probe).otherwise(F.col(below)))
+            step //= 2
+    on_hot = number.isin(cuts.hot).cast("int") if cuts.hot else F.lit(0)
+    return df.withColumn(out, F.when(number.isNull(), -1).otherwise(F.col(below) * 2 + on_hot)).drop(value, below)
 
 
 def with_pieces(df: DataFrame, order_by: list[str], layout: Layout) -> tuple[DataFrame, list[str]]:
     """Add piece columns that follow the lexicographic order of ``order_by``.
 
-    A value that is itself a cut gets a piece of its own, which the next
-    ordering number then cuts again, so one frequent value cannot fill a task.
+    A hot value gets a piece of its own, which the next ordering number then
+    cuts again, so one frequent value cannot fill a task.
     """
     images = _all_images(df, order_by)
     names: list[str] = []
@@ -150,10 +165,10 @@ def with_pieces(df: DataFrame, order_by: list[str], layout: Layout) -> tuple[Dat
         name = f"{_PIECE}{len(names)}"
         df = _with_rank(df, image, cuts, name)
         if names:
-            on_cut = F.lit(True)
+            on_hot = F.lit(True)
             for earlier in names:
-                on_cut = on_cut & (F.pmod(F.col(earlier), F.lit(2)) == 1)
-            df = df.withColumn(name, F.when(on_cut, F.col(name)).otherwise(0))
+                on_hot = on_hot & (F.pmod(F.col(earlier), F.lit(2)) == 1)
+            df = df.withColumn(name, F.when(on_hot, F.col(name)).otherwise(0))
         names.append(name)
     return df, names
 

@@ -255,8 +255,10 @@ def _neighbours(rows: DataFrame, groups: list[str], order: list[str], following:
         return near.groupBy(*near.columns).agg(F.count("*").alias(N_ROWS))
     folded = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
     near = with_neighbour(folded, groups, order, "_other", layout, following)
-    other = F.struct(F.col("_other").alias("near"), F.lit(1).cast("bigint").alias("n"))
-    own = F.struct(F.col(order[0]).alias("near"), (F.col("_copies") - 1).alias("n"))
+    # A different row may still start like this one; then all copies agree.
+    same = F.col("_other").eqNullSafe(F.col(order[0]))
+    other = F.struct(F.col("_other").alias("near"), F.when(same, F.col("_copies")).otherwise(1).alias("n"))
+    own = F.struct(F.col(order[0]).alias("near"), F.when(same, 0).otherwise(F.col("_copies") - 1).alias("n"))
     both = near.select(*rows.columns, F.explode(F.array(other, own)).alias("_c")).filter("_c.n > 0")
     return both.select(*rows.columns, F.col("_c.near").alias("_near"), F.col("_c.n").alias(N_ROWS))
 
