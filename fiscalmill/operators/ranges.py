@@ -132,44 +132,41 @@ def _cuts(image: Image, quantiles: list | None) -> Cuts:
     return Cuts(sorted(set(known)), _repeated(known) if image.exact else [])
 
 
-def _with_rank(df: DataFrame, image: Image, cuts: Cuts, out: str) -> DataFrame:
-    """Piece number: 2k below the k-th cut, 2k+1 on a hot value, -1 for NULL.
+def _piece(value: Column, kind: str, cuts: Cuts) -> Column:
+    """Piece number: 2k below the k-th cut, 2k+1 on a hot value, least for NULL.
 
-    The number of smaller cuts is found by halving steps, one projection each,
-    which stay inside generated code.
+    The number of smaller cuts is found by halving steps over one array.
     """
-    value, below = f"{out}_v", f"{out}_b"
-    df = df.withColumn(value, image.value).withColumn(below, F.lit(0))
-    number, points = F.col(value), cuts.points
-    if points:
-        table = F.split(F.lit(",".join(map(repr, points))), ",").cast(f"array<{image.kind}>")
-        step = 1 << (len(points).bit_length() - 1)
-        while step:
-            probe = F.col(below) + step
-            smaller = (probe <= len(points)) & (F.try_element_at(table, probe) < number)
-            df = df.withColumn(below, F.when(smaller, probe).otherwise(F.col(below)))
-            step //= 2
-    on_hot = number.isin(cuts.hot).cast("int") if cuts.hot else F.lit(0)
-    return df.withColumn(out, F.when(number.isNull(), -1).otherwise(F.col(below) * 2 + on_hot)).drop(value, below)
+    below = F.lit(0)
+    if cuts.points:
+        table = F.split(F.lit(",".join(map(repr, cuts.points))), ",").cast(f"array<{kind}>")
+        steps = [1 << i for i in reversed(range(len(cuts.points).bit_length()))]
+        # Past the end of the array the comparison is NULL, so the step is not taken.
+        below = F.aggregate(
+            F.lit(steps), F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) < value, at + step).otherwise(at)
+        )
+    on_hot = value.isin(cuts.hot).cast("int") if cuts.hot else F.lit(0)
+    # Not nullable, or joins on pieces would push IS NOT NULL filters, with all
+    # of this inlined again, below the projections.
+    return F.coalesce(below * 2 + on_hot, F.lit(-1))
 
 
 def with_pieces(df: DataFrame, order_by: list[str], layout: Layout) -> tuple[DataFrame, list[str]]:
     """Add piece columns that follow the lexicographic order of ``order_by``.
 
     A hot value gets a piece of its own, which the next ordering number then
-    cuts again, so one frequent value cannot fill a task.
+    cuts again, so one frequent value cannot fill a task.  Later numbers are
+    only computed for rows on hot values.
     """
-    images = _all_images(df, order_by)
     names: list[str] = []
-    for image, cuts in zip(images, layout.cuts):
-        name = f"{_PIECE}{len(names)}"
-        df = _with_rank(df, image, cuts, name)
-        if names:
-            on_hot = F.lit(True)
-            for earlier in names:
-                on_hot = on_hot & (F.pmod(F.col(earlier), F.lit(2)) == 1)
-            df = df.withColumn(name, F.when(on_hot, F.col(name)).otherwise(0))
+    on_hot = F.lit(True)
+    for image, cuts in zip(_all_images(df, order_by), layout.cuts):
+        name, value = f"{_PIECE}{len(names)}", f"{_PIECE}{len(names)}_v"
+        df = df.withColumn(value, F.when(on_hot, image.value) if names else image.value)
+        piece = _piece(F.col(value), image.kind, cuts)
+        df = df.withColumn(name, F.coalesce(F.when(on_hot, piece), F.lit(0)) if names else piece).drop(value)
         names.append(name)
+        on_hot = on_hot & (F.pmod(F.col(name), F.lit(2)) == 1)
     return df, names
 
 
@@ -209,7 +206,7 @@ def with_neighbour(
 
     hot = layout.is_hot(group_by)
     pieced, pieces = with_pieces(df, order_by, layout)
-    pieced = pieced.withColumns({p: F.when(hot, F.col(p)).otherwise(0) for p in pieces})
+    pieced = pieced.withColumns({p: F.coalesce(F.when(hot, F.col(p)), F.lit(0)) for p in pieces})
     # Structs compare NULL fields as equal, so NULL groups join to themselves.
     pieced = pieced.withColumn("_g", F.struct(*group_by) if group_by else F.struct(F.lit(0).alias("_all")))
     keys = ["_g", *pieces]
