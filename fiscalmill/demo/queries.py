@@ -733,7 +733,7 @@ def dq_sequential_values_global(spark, sf):
 
 @query
 def dq_sequential_values_day(spark, sf):
-    days = table(spark, sf, "orders").select("o_custkey", F.col("o_orderdate").cast("timestamp").alias("day"))
+    days = table(spark, sf, "orders").select("o_custkey", F.col("o_orderdate").alias("day"))
     bad = checks.sequential_values(days, "day", 1, "day", ["o_custkey"])
     return bad.select("o_custkey", F.col("day").cast("date"), F.col("previous_day").cast("date").alias("previous_day"), "n_rows")
 
@@ -826,7 +826,7 @@ from {orders}
 @query
 def latest_per_year(spark, sf):
     return manifest.latest_per_year(derived(spark, sf, MANIFEST), "ord").select(
-        "title", "link", "year", F.date_format("sort_key", "yyyy-MM-dd").alias("sort_day")
+        "title", "link", "year", F.unix_seconds("sort_key").alias("sort_second")
     )
 
 

@@ -107,7 +107,7 @@ def sample_layout(df: DataFrame, group_by: list[str], order_by: list[str]) -> La
     shares = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
 
     def sketch(value: Column) -> Column:
-        return F.percentile_approx(value, shares, max(10_000, 20 * n_cuts))
+        return F.percentile_approx(value, shares, 8 * n_cuts)
 
     first, *rest = _all_images(df, order_by)
     sketches = [sketch(first.value).alias("_q0")]

@@ -42,7 +42,7 @@ def date_spine(spark: SparkSession, datepart: str, start: date | datetime, end:
     spine = spark.range(max(steps, 0)).select(
         F.expr(f"timestampadd({datepart}, cast(id as int), timestamp '{first}')").alias(f"date_{datepart}")
     )
-    spine = spine.filter(F.col(f"date_{datepart}") <= F.lit(last))
+    spine = spine.filter(F.col(f"date_{datepart}") <= F.expr(f"timestamp '{last}'"))
     if whole_days and datepart not in ("hour", "minute", "second"):
         spine = spine.withColumn(f"date_{datepart}", F.col(f"date_{datepart}").cast("date"))
     return spine

@@ -302,8 +302,11 @@ def sequential_values(
     groups = group_by or []
     rows = _neighbours(df.select(*_quoted([*groups, column])), groups, [column], following=False)
     if datepart:
-        expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col("_near")).cast("timestamp")
-        bad = F.col(column).cast("timestamp") != expected
+        # Interval arithmetic keeps timestamps without a zone free of any zone.
+        number, unit = (3 * interval, "month") if datepart == "quarter" else (interval, datepart)
+        zoneless = df.schema[column].dataType.typeName() == "timestamp_ntz"
+        kind = "timestamp_ntz" if zoneless else "timestamp"
+        bad = F.col(column).cast(kind) != F.col("_near").cast(kind) + F.expr(f"interval {number} {unit}")
     else:
         bad = F.col(column) != F.col("_near") + interval
     return rows.filter(bad).select(*_quoted(groups), F.col(column), F.col("_near").alias(f"previous_{column}"), N_ROWS)

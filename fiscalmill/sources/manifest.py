@@ -15,8 +15,9 @@ def latest_per_year(manifest: DataFrame, order: str) -> DataFrame:
     the file that comes first by ``order``.  All times are compared in UTC.
     """
     day = F.regexp_extract("name", r"(\d{2}/\d{2}/\d{4})", 1)
-    named = F.try_to_timestamp(day, F.lit("dd/MM/yyyy"))
-    created = F.regexp_replace("created", "Z$", "+00:00").try_cast("timestamp")
+    named = F.try_to_timestamp(F.concat(day, F.lit(" +00:00")), F.lit("dd/MM/yyyy XXX"))
+    zoned = F.col("created").rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    created = F.when(zoned, F.col("created")).otherwise(F.concat("created", F.lit("Z"))).try_cast("timestamp")
     files = manifest.filter((F.upper("format") == "XLSX") & ~F.lower("name").contains("metadados"))
     files = files.withColumn("year", F.regexp_extract("name", r"(\d{4})", 1).try_cast("bigint"))
     files = files.withColumn("_key", F.coalesce(F.when(day != "", named), created))
