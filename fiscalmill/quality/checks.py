@@ -224,12 +224,14 @@ def relationships_where(
 ) -> DataFrame:
     """Child values (of filtered rows) without a (filtered) parent.
 
-    Both sides shrink to distinct keys before they meet.
+    Both sides shrink to distinct keys before they meet.  (An anti join would be
+    pushed below the aggregation, so that all child rows are shuffled again.)
     """
     child = df.filter(from_condition).filter(F.col(column).isNotNull())
     parent = to.filter(to_condition).filter(F.col(field).isNotNull()).select(F.col(field).alias("id")).distinct()
     keys = child.groupBy(F.col(column).alias("id")).agg(F.count("*").alias(N_ROWS))
-    return keys.join(parent, "id", "left_anti")
+    matched = keys.join(parent.withColumn("_found", F.lit(True)), "id", "left")
+    return matched.filter("_found is null").select("id", N_ROWS)
 
 
 def columns_match_set(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -80,6 +80,13 @@ def test_relationships(frame, values):
     assert values(c.relationships_where(child, "id", parent, "id", "id <> 4", "id <> 1")) == [(1, 1)]
 
 
+def test_relationships_fold_before_the_join(spark):
+    child, parent = spark.range(100).selectExpr("id % 7 as k"), spark.range(5)
+    plan = c.relationships(child, "k", parent, "id")._jdf.queryExecution().optimizedPlan().toString()
+    join, fold = plan.index("Join LeftOuter"), plan.index("Aggregate [k")
+    assert join < fold  # the tree prints the join above its inputs
+
+
 def test_ranges_golden(frame):
     df = frame("l int, u int", (0, 1), (1, 2), (2, 4))
     assert c.mutually_exclusive_ranges(df, "l", "u", gaps="not_allowed").count() == 0
