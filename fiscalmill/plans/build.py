@@ -12,7 +12,9 @@ from fiscalmill.operators.small import checked_broadcast
 from fiscalmill.plans import bronze, gold, insights, silver
 from fiscalmill.quality.runner import gate
 from fiscalmill.quality.suites import BRONZE, GOLD, SILVER
-from fiscalmill.sources.files import LayerTables
+from fiscalmill.sources.files import LayerTables, range_sorted
+from fiscalmill.sources.json_feeds import assert_register, read_cities, read_gdp
+from fiscalmill.sources.sheets import load_sheets
 
 Tables = dict[str, DataFrame]
 
@@ -24,6 +26,23 @@ def at_once(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]]) -> Ta
         return {name: job.result() for name, job in running.items()}
 
 
+def load_raw(tables: LayerTables, ratings: str | list[str], cities: str, gdp: str | list[str], register_check: bool = True) -> Tables:
+    """Sheet files, register and GDP feeds -> the three raw tables, replaced whole.
+
+    GDP rows are stored in (year, code) order.
+    """
+    spark = tables.spark
+    register = read_cities(spark, cities)
+    if register_check:
+        register = assert_register(register)
+    sources = {
+        "capag_brasil": load_sheets(spark, ratings),
+        "cidades_brasil": register,
+        "pib_municipal": range_sorted(read_gdp(spark, gdp), "ano", "cod_ibge"),
+    }
+    return at_once(spark, {name: (lambda n=name, df=df: tables.write("raw", n, df)) for name, df in sources.items()})
+
+
 def bronze_layer(raw: Tables) -> Tables:
     """Views; nothing is written."""
     return {

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fiscalmill.operators.shape import nullcheck_table
 from fiscalmill.operators.small import checked_broadcast
 
 RATING_COLUMNS = [
@@ -20,9 +22,12 @@ LAYERS = ("raw", "bronze", "silver", "gold")
 
 
 def read_csv(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
-    """Header CSV with every column as text, so keys keep their raw spelling."""
+    """Header CSV with every column as text, so keys keep their raw spelling.
+
+    Empty cells are NULL, quoted or not.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=True)
+    return nullcheck_table(spark.read.csv(path, header=True, schema=schema, enforceSchema=True))
 
 
 def range_sorted(df: DataFrame, *columns: str) -> DataFrame:
@@ -87,8 +92,13 @@ class LayerTables:
     def exists(self, layer: str, name: str) -> bool:
         if not self.root:
             return self.spark.catalog.tableExists(f"{layer}.{name}")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(layer, name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        try:
+            self.read(layer, name)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+        return True
 
 
 def years_stored(stored: DataFrame, year: str) -> DataFrame:

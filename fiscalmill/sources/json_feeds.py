@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalmill.functions.text import safe_double, state_from_code
@@ -13,7 +13,18 @@ GDP_MISSING = ["...", "-", "X"]
 MIN_CITIES, STATES = 5000, 27
 
 CITY_SCHEMA = "array<struct<id: bigint, nome: string, microrregiao: struct<mesorregiao: struct<UF: struct<sigla: string>>>>>"
-GDP_SCHEMA = "array<struct<D3C: string, D1C: string, D1N: string, V: string>>"
+GDP_RECORD = "D3C string, D1C string, D1N string, V string"
+GDP_SCHEMA = f"array<struct<{GDP_RECORD}>>"
+
+
+def read_cities(spark: SparkSession, path: str) -> DataFrame:
+    """Register files, each one JSON array; positions count within a file."""
+    return cities_from_json(spark.read.text(path, wholetext=True), "value")
+
+
+def read_gdp(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """GDP files, each a JSON array of records; files are read in parallel."""
+    return gdp_from_records(spark.read.schema(GDP_RECORD).json(path, multiLine=True))
 
 
 def cities_from_json(feed: DataFrame, json: str = "json") -> DataFrame:

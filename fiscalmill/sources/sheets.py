@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from fiscalmill.functions.text import blank_null_words, integer_text, strip
+from fiscalmill.operators.shape import nullcheck_table
 from fiscalmill.operators.small import checked_broadcast
 from fiscalmill.sources.files import RATING_COLUMNS
 
@@ -113,9 +113,13 @@ def header_positions(sheets: DataFrame) -> DataFrame:
 
 
 def unify_sheets(sheets: DataFrame) -> DataFrame:
-    """All data rows of all sheets with the target columns, as text."""
+    """All data rows of all sheets with the target columns, as text.
+
+    Rows without any cell content are no data.
+    """
     rows = sheets.join(checked_broadcast(header_positions(sheets)), "file")
     data = rows.filter(F.col("row_index").isNull() | (F.col("row_index") > F.col("header_row")))
+    data = data.filter(F.exists("cells", lambda c: c != ""))
 
     def cell(column: str):
         return F.try_element_at("cells", (F.col(f"positions.{column}") + 1).cast("int"))
@@ -136,7 +140,6 @@ def clean_rows(df: DataFrame) -> DataFrame:
     return ints.select(*[blank_null_words(c).alias(c) for c in RATING_COLUMNS])
 
 
-def rank_rows(df: DataFrame, file: str, order: str) -> DataFrame:
-    """Row index 0.. of the leading rows of every file; later rows are left out."""
-    window = Window.partitionBy(file).orderBy(order)
-    return df.withColumn("row_index", F.row_number().over(window) - 1).filter(F.col("row_index") < HEADER_ROWS)
+def load_sheets(spark: SparkSession, path: str | list[str], separator: str = ",") -> DataFrame:
+    """Raw ratings from sheet files; an empty cell is NULL, as in any load."""
+    return nullcheck_table(unify_sheets(read_sheets(spark, path, separator)))

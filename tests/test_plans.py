@@ -236,3 +236,29 @@ def test_legacy(raw):
     rows = fact.collect()
     assert sorted(r["id"] for r in rows) == list(range(1, 81))
     assert all(r["uf_id"] and r["classificacao_capag_id"] and r["cod_ibge"] for r in rows)
+
+
+def test_files_to_gold(spark, tmp_path):
+    """Sheets and JSON files through all layers."""
+    (tmp_path / "r_2021.csv").write_text(
+        "Relatório\nInstituição,Cod.IBGE,UF,População,Indicador 1,CAPAG\nX,3550308.0,SP,500.0,\"0,5\",A\nY,1100015,RO,nan,n.d.,C\n\n"
+    )
+    (tmp_path / "cities.json").write_text(
+        '[{"id": 3550308, "nome": "X", "microrregiao": {"mesorregiao": {"UF": {"sigla": "SP"}}}},\n {"id": 9, "nome": "?", "microrregiao": null},'
+        ' {"id": 1100015, "nome": "Y", "microrregiao": {"mesorregiao": {"UF": {"sigla": "RO"}}}}]'
+    )
+    (tmp_path / "gdp.json").write_text(
+        '[{"D3C": "2019", "D1C": "3550308", "D1N": "X", "V": "100"},\n {"D3C": "2020", "D1C": "3550308", "D1N": "X", "V": "112.5"},'
+        ' {"D3C": "2020", "D1C": "1100015", "D1N": "Y", "V": "..."}]'
+    )
+    tables = LayerTables(spark, scratch_dir(spark, "files"))
+    paths = [str(tmp_path / n) for n in ("r_2021.csv", "cities.json", "gdp.json")]
+    raw = build.load_raw(tables, *paths, register_check=False)
+    assert [r["Id"] for r in raw["cidades_brasil"].orderBy("Id").collect()] == [1, 3]
+    with pytest.raises(ValueError):
+        build.load_raw(tables, *paths)
+    risk = {r["cod_ibge"]: r for r in build.build_all(tables, raw)["gld_fato_risco_fiscal"].collect()}
+    assert set(risk) == {3550308, 1100015}  # the blank sheet row has no code
+    x, y = risk[3550308], risk[1100015]
+    assert (x["ano_base"], x["score_risco_fiscal"], x["nome_municipio"], x["populacao"]) == (2020, 100, "X", 500)
+    assert (y["score_risco_fiscal"], y["tem_pib"], y["indicador_1"], y["populacao"]) == (36, False, None, None)
