@@ -12,7 +12,7 @@ from fiscalmill.operators.small import checked_broadcast
 from fiscalmill.plans import bronze, gold, insights, silver
 from fiscalmill.quality.runner import gate
 from fiscalmill.quality.suites import BRONZE, GOLD, SILVER
-from fiscalmill.sources.files import LayerTables, range_sorted
+from fiscalmill.sources.files import CITY_COLUMNS, GDP_COLUMNS, RATING_COLUMNS, LayerTables, range_sorted
 from fiscalmill.sources.json_feeds import assert_register, read_cities, read_gdp
 from fiscalmill.sources.sheets import load_sheets
 
@@ -40,7 +40,10 @@ def load_raw(tables: LayerTables, ratings: str | list[str], cities: str, gdp: st
         "cidades_brasil": register,
         "pib_municipal": range_sorted(read_gdp(spark, gdp), "ano", "cod_ibge"),
     }
-    return at_once(spark, {name: (lambda n=name, df=df: tables.write("raw", n, df)) for name, df in sources.items()})
+    stored = at_once(spark, {name: (lambda n=name, df=df: tables.write("raw", n, df)) for name, df in sources.items()})
+    if not tables.root:
+        bronze_views(tables)
+    return stored
 
 
 def bronze_layer(raw: Tables) -> Tables:
@@ -52,6 +55,18 @@ def bronze_layer(raw: Tables) -> Tables:
     }
 
 
+def bronze_views(tables: LayerTables) -> None:
+    """In database mode: the bronze tables as stored views over the raw tables."""
+    columns = {
+        "brz_capag_brasil": ("capag_brasil", RATING_COLUMNS),
+        "brz_cidades_brasil": ("cidades_brasil", CITY_COLUMNS),
+        "brz_pib_municipal": ("pib_municipal", GDP_COLUMNS),
+    }
+    tables.spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
+    for view, (raw, names) in columns.items():
+        tables.spark.sql(f"CREATE OR REPLACE VIEW bronze.{view} AS SELECT {', '.join(names)} FROM raw.{raw}")
+
+
 def silver_layer(tables: LayerTables, brz: Tables) -> Tables:
     def write(name: str, df: DataFrame, *layout) -> Callable[[], DataFrame]:
         return lambda: tables.write("silver", name, df, *layout)

@@ -239,7 +239,7 @@ def test_legacy(raw):
 
 
 def test_files_to_gold(spark, tmp_path):
-    """Sheets and JSON files through all layers."""
+    """Sheets and JSON files through all layers, then plain SQL on the databases."""
     (tmp_path / "r_2021.csv").write_text(
         "Relatório\nInstituição,Cod.IBGE,UF,População,Indicador 1,CAPAG\nX,3550308.0,SP,500.0,\"0,5\",A\nY,1100015,RO,nan,n.d.,C\n\n"
     )
@@ -251,7 +251,7 @@ def test_files_to_gold(spark, tmp_path):
         '[{"D3C": "2019", "D1C": "3550308", "D1N": "X", "V": "100"},\n {"D3C": "2020", "D1C": "3550308", "D1N": "X", "V": "112.5"},'
         ' {"D3C": "2020", "D1C": "1100015", "D1N": "Y", "V": "..."}]'
     )
-    tables = LayerTables(spark, scratch_dir(spark, "files"))
+    tables = LayerTables(spark)
     paths = [str(tmp_path / n) for n in ("r_2021.csv", "cities.json", "gdp.json")]
     raw = build.load_raw(tables, *paths, register_check=False)
     assert [r["Id"] for r in raw["cidades_brasil"].orderBy("Id").collect()] == [1, 3]
@@ -262,3 +262,8 @@ def test_files_to_gold(spark, tmp_path):
     x, y = risk[3550308], risk[1100015]
     assert (x["ano_base"], x["score_risco_fiscal"], x["nome_municipio"], x["populacao"]) == (2020, 100, "X", 500)
     assert (y["score_risco_fiscal"], y["tem_pib"], y["indicador_1"], y["populacao"]) == (36, False, None, None)
+    assert spark.table("bronze.brz_capag_brasil").columns == RATING_COLUMNS and spark.table("bronze.brz_cidades_brasil").count() == 2
+    card = "SELECT classificacao_risco, count(*) AS n FROM gold.gld_report_risco_fiscal_municipal WHERE (:ano IS NULL OR ano_base = :ano) GROUP BY 1"
+    for ano, rows in ((2020, 2), (None, 2), (1999, 0)):
+        assert sum(r["n"] for r in spark.sql(card, args={"ano": ano}).collect()) == rows
+    assert spark.table("gold.insights_risco_fiscal").count() > 0
