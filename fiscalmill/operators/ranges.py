@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from fiscalmill.operators.small import checked_broadcast
+
 MAX_CUTS = 1023
 MAX_IMAGES = 6  # cutting levels; they only affect the balance
 _PIECE = "_piece"
@@ -188,6 +190,12 @@ def small_set_ids(df: DataFrame, order_by: str, id_name: str) -> DataFrame:
     return df.select(number.alias(id_name), *df.columns)
 
 
+def set_ids(df: DataFrame, order_by: str, id_name: str) -> DataFrame:
+    """Ids for a distinct set, in one small window only if it is truly small."""
+    checked = checked_broadcast(df)
+    return dense_ids(df, [order_by], id_name) if checked is df else small_set_ids(checked, order_by, id_name)
+
+
 def with_neighbour(
     df: DataFrame, group_by: list[str], order_by: list[str], out: str, layout: Layout, following: bool = False
 ) -> DataFrame:

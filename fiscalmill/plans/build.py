@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from fiscalmill.operators.ranges import set_ids
 from fiscalmill.operators.small import checked_broadcast
 from fiscalmill.plans import bronze, gold, insights, silver
 from fiscalmill.quality.runner import gate
@@ -83,7 +84,7 @@ def silver_layer(tables: LayerTables, brz: Tables) -> Tables:
     dims = at_once(
         tables.spark,
         {
-            "slv_dim_uf": write("slv_dim_uf", silver.dim_state(ratings, out["slv_cidades"])),
+            "slv_dim_uf": write("slv_dim_uf", silver.dim_state(ratings, out["slv_cidades"], set_ids)),
             "slv_dim_classificacao_capag": write("slv_dim_classificacao_capag", silver.dim_rating(ratings)),
         },
     )

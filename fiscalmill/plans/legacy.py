@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscalmill.functions.text import strip
-from fiscalmill.operators.ranges import dense_ids, small_set_ids
+from fiscalmill.operators.ranges import dense_ids, set_ids
 from fiscalmill.operators.small import checked_broadcast
 
 FACT_COLUMNS = [
@@ -18,7 +18,7 @@ FACT_COLUMNS = [
 def dim_rating(raw_rating: DataFrame) -> DataFrame:
     found = raw_rating.filter("classificacao_capag is not null")
     values = found.select(F.upper(strip("classificacao_capag")).alias("classificacao_capag")).distinct()
-    return small_set_ids(values, "classificacao_capag", "classificacao_capag_id")
+    return set_ids(values, "classificacao_capag", "classificacao_capag_id")
 
 
 def dim_institution(raw_cities: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def dim_institution(raw_cities: DataFrame) -> DataFrame:
 
 
 def dim_state(raw_rating: DataFrame) -> DataFrame:
-    return small_set_ids(raw_rating.select("uf").distinct(), "uf", "uf_id")
+    return set_ids(raw_rating.select("uf").distinct(), "uf", "uf_id")
 
 
 def fact_indicators(raw_rating: DataFrame, institutions: DataFrame, states: DataFrame, ratings: DataFrame) -> DataFrame:

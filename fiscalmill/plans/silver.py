@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,10 +70,14 @@ def gdp(bronze: DataFrame) -> DataFrame:
     return deduplicate(cleaned, ["cod_ibge", "ano"], [F.col("pib").desc_nulls_last()])
 
 
-def dim_state(ratings: DataFrame, register: DataFrame) -> DataFrame:
-    """All states of both tables with a dense id."""
+def dim_state(ratings: DataFrame, register: DataFrame, ids: Callable = small_set_ids) -> DataFrame:
+    """All states of both tables with a dense id.
+
+    Over stored tables ``ids=set_ids`` also copes with a column full of other
+    text; over a lazy chain the few states of the domain are taken for granted.
+    """
     states = ratings.select("uf").union(register.select("uf")).filter("uf is not null").distinct()
-    return small_set_ids(states, "uf", "uf_id")
+    return ids(states, "uf", "uf_id")
 
 
 def dim_rating(ratings: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ TABLES = (
 
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
-    star = '/*.parquet' if os.path.isdir(f'{sf_dir}/region.parquet') else ''
+    star = "/*.parquet" if os.path.isdir(f"{sf_dir}/region.parquet") else ""
     for name in TABLES:
         connection.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet{star}'")
     return connection

@@ -212,6 +212,13 @@ def test_no_single_partition_for_large_orders(spark):
     assert plan.count("SinglePartition") == 1
 
 
+def test_set_ids(spark, values, monkeypatch):
+    df = spark.range(50).selectExpr("concat('v', id * 7 % 50) as v")
+    small = ranges.set_ids(df, "v", "id")
+    monkeypatch.setattr(ranges, "checked_broadcast", lambda d: d)  # as if the set were large
+    assert values(small) == values(ranges.set_ids(df, "v", "id"))
+
+
 def test_checked_broadcast(spark, values):
     df = spark.range(20)
     assert values(checked_broadcast(df)) == values(df)
