@@ -4,8 +4,8 @@ import pytest
 from compare import difference, oracle_connection
 
 import __spark_entry__ as registry
-
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+from fiscalmill.demo.oracles import ORACLES
+from fiscalmill.demo.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def connection(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(registry.queries()) and set(ORACLES) <= set(registry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
