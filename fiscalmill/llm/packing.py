@@ -16,69 +16,120 @@ from __future__ import annotations
 
 import math
 import os
+import re
+import string
 from collections.abc import Iterator
-from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fiscalmill.llm.common import slices
+from fiscalmill.llm.common import slices, text_arrays
+from fiscalmill.llm.words import word_hashes, word_spans
 
 CAPACITY = 4096
 GROUP = 2048
 CACHED_WORDS = 400_000
+_OTHER = re.compile("[^\0-\u012f\u0131-\u024f]")  # beyond Latin; and the dotted capital I, which lower-cases to two letters
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, grp long"
 _PACKED = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, padded_to long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes other than visible Latin-1 ones (and the space)."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + n) for n, b in enumerate(hidden) if b != 32}
+
+
 class WordTokenizer:
     """Ids of many texts; each distinct word is encoded once.
 
-    Holds for tokenizers that drop white space and never join two words, such as
-    the one with word ends; words are cut at the ASCII white space.
+    Holds for tokenizers that drop white space, lower-case and part letters from
+    all else, as the one with word ends does; words are cut at the ASCII white
+    space. Latin letters, with or without signs after them, go to the vocabulary's
+    merges directly, any other word through the whole tokenizer. Texts with letters
+    that may be lower-cased or composed by rules of their own, or with what looks
+    like a special token, are encoded whole, as are all texts for other tokenizers.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-
-        self.reader = Tokenizer.from_file(path)
+        from tokenizers.pre_tokenizers import Split
+
+        self.reader, self.merger = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.merger.normalizer, self.merger.pre_tokenizer = None, Split(" ", "removed")
+        self.letters = _byte_letters()
+        vocabulary = self.reader.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._clear()
+        probe = "Word words, été!! it's a1"
+        self.by_word = np.array_equal(np.concatenate(self._by_word([probe])), self._whole(probe))
 
     def _clear(self):
-        self.known, self.pool, self.starts, self.lengths, self.size = {}, [], [], [], 0
+        """A known word is two parts, as one number; the ids of part i are pool[first[i] : first[i + 1]]. Part 0 is empty."""
+        self.words: dict[bytes, int] = {}
+        self.parts: dict[str, int] = {"": 0}
+        self.pool, self.first = np.empty(0, np.uint32), np.zeros(2, np.int64)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.reader.encode(text, add_special_tokens=False).ids
+
+    def _merged(self, letters: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of lower-case letters, and how many each has: its last one alone ends a word."""
+        joined = [" ".join(letters[i : i + 1000]) for i in range(0, len(letters), 1000)]
+        written = [t if t.isascii() else t.encode().decode("latin-1").translate(self.letters) for t in joined]
+        encoded = self.merger.encode_batch_fast(written, add_special_tokens=False)
+        ids = np.concatenate([np.empty(0, np.uint32), *[np.array(e.ids, np.uint32) for e in encoded]])
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
 
     def _learn(self, words: list[bytes]):
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
-            encoded = self.reader.encode([w.decode() for w in some], is_pretokenized=True, add_special_tokens=False)
-            owner = np.array(encoded.word_ids, np.int64)
-            counts = np.bincount(owner, minlength=len(some))
-            self.pool.append(np.array(encoded.ids, np.uint32))
-            self.starts.append(self.size + np.concatenate(([0], np.cumsum(counts)[:-1])))
-            self.lengths.append(counts)
-            self.known.update(zip(some, range(len(self.known), len(self.known) + len(some))))
-            self.size += len(owner)
-        self.pool, self.starts, self.lengths = ([np.concatenate(x)] for x in (self.pool, self.starts, self.lengths))
+        texts = [w.decode() for w in words]
+        cores = [t.rstrip(string.punctuation) for t in texts]
+        cores = [c if c.isalpha() else t for c, t in zip(cores, texts)]
+        tails = [t[len(c) :] for c, t in zip(cores, texts)]
+        new = list(set(cores).union(tails).difference(self.parts))
+        letters = [p for p in new if p.isascii() and p.isalpha()] + [p for p in new if not p.isascii() and p.isalpha()]
+        others = [p for p in new if not p.isalpha()]
+        ids, counts = self._merged(letters)
+        whole = [self._whole(p) for p in others]
+        self.pool = np.concatenate([self.pool, ids, *[np.array(w, np.uint32) for w in whole]])
+        counts = np.concatenate([counts, np.fromiter(map(len, whole), np.int64, len(whole))]).astype(np.int64)
+        self.parts.update(zip(letters + others, range(len(self.parts), len(self.parts) + len(new))))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
+        number = self.parts.__getitem__
+        self.words.update(zip(words, [number(c) << 32 | number(t) for c, t in zip(cores, tails)]))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        words = [(t or "").encode().split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
+        texts = [t or "" for t in texts]
+        plain = [self.by_word and "<|" not in t and (t.isascii() or not _OTHER.search(t) and is_normalized("NFC", t)) for t in texts]
+        quick = iter(self._by_word([t for t, p in zip(texts, plain) if p]))
+        return [next(quick) if p else np.array(self._whole(t), np.uint32) for t, p in zip(texts, plain)]
+
+    def _by_word(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.words) > CACHED_WORDS:
             self._clear()
-        new = set(chain.from_iterable(words)).difference(self.known)
-        if new:
-            self._learn(sorted(new))
-        total = sum(map(len, words))
-        index = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, total)
-        if not total:
+        data, offsets = text_arrays(pa.array([t.lower() for t in texts], pa.large_string()))
+        starts, ends, first = word_spans(data, offsets)
+        if not len(starts):
             return [np.empty(0, np.uint32) for _ in texts]
-        lengths, starts = self.lengths[0][index], self.starts[0][index]
-        ends = np.cumsum(lengths)
-        flat = self.pool[0][np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])]
-        cuts = np.concatenate(([0], ends))[np.cumsum([len(w) for w in words])]
-        return np.split(flat, cuts[:-1])
+        _, at, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        distinct = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        new = list(set(distinct).difference(self.words))
+        if new:
+            self._learn(new)
+        pairs = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
+        parts = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)[index].ravel()
+        begins = self.first[parts]
+        lengths = self.first[parts + 1] - begins
+        stops = np.cumsum(lengths)
+        flat = self.pool[np.repeat(begins - (stops - lengths), lengths) + np.arange(stops[-1])]
+        return np.split(flat, np.concatenate(([0], stops))[2 * first[1:-1]])
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
