@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import chat, packing, simhash, substrings
+from fiscalmill.llm import ann, chat, html, licenses, packing, simhash, substrings, toxicity, urls
 from fiscalmill.llm.common import table
 
 
@@ -26,16 +26,48 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packed)
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and the components of those within three bits."""
     return simhash.components_of(table(spark, sf_dir, "documents"))
 
 
+#: (host, path, verdict): a rule fits the host and its subdomains, and paths that start with the path.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules, else by its template; a page of a document of low quality is a bad one."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    return urls.filter_urls(table(spark, sf_dir, "pages"), labels, URL_RULES)
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 13 words and more that an earlier document holds, removed."""
     return substrings.repeats_of(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_windows, op3_packing, op5_simhash, op7_substrings)}
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    return ann.nearest(vectors, lambda vec_id: vec_id % 50 == 0)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document, learned from the labels of two thirds of them."""
+    return toxicity.scores_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice in the documents."""
+    return licenses.find_notices(table(spark, sf_dir, "documents"))
+
+
+_ALL = (op1_chat_windows, op3_packing, op4_html, op5_simhash, op6_urls, op7_substrings, op8_nearest, op9_toxicity, op10_licenses)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLES: dict[str, str] = {}
