@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscalmill.llm.common import slices, text_arrays
-from fiscalmill.llm.words import word_hashes, word_spans
+from fiscalmill.llm.words import mix, word_hashes, word_spans
 
 CAPACITY = 4096
 GROUP = 2048
@@ -68,7 +68,7 @@ class WordTokenizer:
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._clear()
         probe = "Word words, été!! it's a1"
-        self.by_word = np.array_equal(np.concatenate(self._by_word([probe])), self._whole(probe))
+        self.by_word = np.array_equal(self._by_word([probe])[0], self._whole(probe))
 
     def _clear(self):
         """A known word is two parts, as one number; the ids of part i are pool[first[i] : first[i + 1]]. Part 0 is empty."""
@@ -104,19 +104,24 @@ class WordTokenizer:
         number = self.parts.__getitem__
         self.words.update(zip(words, [number(c) << 32 | number(t) for c, t in zip(cores, tails)]))
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and how many of them are each text's."""
         texts = [t or "" for t in texts]
         plain = [self.by_word and "<|" not in t and (t.isascii() or not _OTHER.search(t) and is_normalized("NFC", t)) for t in texts]
-        quick = iter(self._by_word([t for t, p in zip(texts, plain) if p]))
-        return [next(quick) if p else np.array(self._whole(t), np.uint32) for t, p in zip(texts, plain)]
-
-    def _by_word(self, texts: list[str]) -> list[np.ndarray]:
+        if all(plain):
+            return self._by_word(texts)
+        flat, counts = self._by_word([t for t, p in zip(texts, plain) if p])
+        quick = iter(np.split(flat, np.cumsum(counts)[:-1]))
+        ids = [next(quick) if p else np.array(self._whole(t), np.uint32) for t, p in zip(texts, plain)]
+        return np.concatenate(ids), np.array([len(i) for i in ids])
+
+    def _by_word(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.words) > CACHED_WORDS:
             self._clear()
         data, offsets = text_arrays(pa.array([t.lower() for t in texts], pa.large_string()))
         starts, ends, first = word_spans(data, offsets)
         if not len(starts):
-            return [np.empty(0, np.uint32) for _ in texts]
+            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         _, at, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
         distinct = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
@@ -129,7 +134,7 @@ class WordTokenizer:
         lengths = self.first[parts + 1] - begins
         stops = np.cumsum(lengths)
         flat = self.pool[np.repeat(begins - (stops - lengths), lengths) + np.arange(stops[-1])]
-        return np.split(flat, np.concatenate(([0], stops))[2 * first[1:-1]])
+        return flat, np.diff(np.concatenate(([0], stops))[2 * first])
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
@@ -158,17 +163,21 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
 def _tokenize(path: str, end_id: int, capacity: int, groups: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, names = WordTokenizer(path), [f.split()[0] for f in _PIECES.split(", ")]
-        for batch in slices(batches, "text", 4 << 20):
-            rows = []
-            salts = batch.column("salt").to_pylist()
-            for doc, salt, ids in zip(batch.column("doc_id").to_pylist(), salts, reader.encode(batch.column("text").to_pylist())):
-                ids = np.append(ids, np.uint32(end_id))
-                for start in range(0, len(ids), capacity):
-                    piece = ids[start : start + capacity]
-                    group = hash((salt, start // capacity)) % groups
-                    rows.append((doc, start, len(piece), len(ids), piece.astype("<u4").tobytes(), group))
-            kinds = [pa.int64()] * 4 + [pa.binary(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+        for batch in slices(batches, "text"):
+            ids, counts = reader.encode(batch.column("text").to_pylist())
+            ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
+            totals = counts + 1
+            n_pieces = -(-totals // capacity)
+            doc = np.repeat(np.arange(len(counts)), n_pieces)
+            number = np.arange(len(doc)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+            start = number * capacity
+            length = np.minimum(totals[doc] - start, capacity)
+            with np.errstate(over="ignore"):
+                salt = mix(batch.column("salt").to_numpy().view(np.uint64)[doc] + number.astype(np.uint64))
+            ends = np.cumsum(length, dtype=np.int64) * 4
+            binary = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(np.concatenate(([0], ends))), pa.py_buffer(ids)])
+            columns = [batch.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(totals[doc]), binary.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array((salt % np.uint64(groups)).astype(np.int64))], names=names)
 
     return pieces
 
