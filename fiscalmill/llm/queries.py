@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import ann, chat, html, licenses, packing, simhash, substrings, toxicity, urls
+from fiscalmill.llm import ann, chat, decontaminate, html, licenses, packing, simhash, substrings, toxicity, urls
 from fiscalmill.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(windows)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, reworded or not."""
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as ids, packed into sequences of 4096."""
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -67,7 +72,9 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_notices(table(spark, sf_dir, "documents"))
 
 
-_ALL = (op1_chat_windows, op3_packing, op4_html, op5_simhash, op6_urls, op7_substrings, op8_nearest, op9_toxicity, op10_licenses)
+_ALL = (
+    op1_chat_windows, op2_decontamination, op3_packing, op4_html, op5_simhash, op6_urls, op7_substrings, op8_nearest, op9_toxicity, op10_licenses,
+)
 QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLES: dict[str, str] = {}

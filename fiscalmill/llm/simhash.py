@@ -27,10 +27,11 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from fiscalmill.llm.common import slices
+from fiscalmill.llm.common import slices, stored
 from fiscalmill.llm.components import components
 
 BITS = 64
@@ -71,15 +72,15 @@ def fingerprint(text: str | None, shingle: int, table: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """Each row's id and fingerprint (as a signed 64-bit number), with its other columns under ``rest``."""
+    """Each row's id, text key and fingerprint (as a signed 64-bit number)."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _counters()
         for batch in slices(batches, "text"):
             marks = np.array([fingerprint(t, shingle, table) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(marks.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(marks.view(np.int64))], names=["id", "key", "fp"])
 
-    return docs.select(F.col("id"), F.col("text")).mapInArrow(mark, "id long, fp long")
+    return docs.select("id", "text", "key").mapInArrow(mark, "id long, key long, fp long")
 
 
 # -- how to probe ---------------------------------------------------------------------------
@@ -274,17 +275,33 @@ def links(classes: DataFrame, t: int) -> DataFrame:
     return keyed.groupBy("shard").applyInArrow(_verify(t), "u long, v long")
 
 
-def near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, fp, component): for each row the smallest id that its fingerprint reaches over links of at most ``max_bits`` bits."""
-    from fiscalmill.llm.common import stored
+def row_keys(id_column: str, text_column: str) -> tuple[Column, Column]:
+    """What tells rows apart: the id, nulls last, and a hash of the text."""
+    return F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+
 
-    marked = stored(fingerprints(docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")), shingle), "fingerprints")
+def near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, key, fp, component, root): for each row the smallest id that its fingerprint reaches over links of at most ``max_bits`` bits."""
+    _, key = row_keys(id_column, text_column)
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"), key.alias("key"))
+    marked = stored(fingerprints(rows, shingle), "fingerprints")
     classes = marked.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(classes, max_bits))
     placed = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = placed.groupBy("root").agg(F.min("least").alias("component"))
-    component = placed.join(named.select(F.col("root").alias("r"), "component"), F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component")
-    return marked.join(component, F.col("fp") == F.col("f")).select("id", "fp", "component")
+    component = placed.join(named.select(F.col("root").alias("r"), "component"), F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component", "root")
+    return marked.join(component, F.col("fp") == F.col("f")).select("id", "key", "fp", "component", "root")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of near copies: the smallest id, of its rows the first by text key; equal rows count as one."""
+    found = near_copies(docs, **options)
+    first = found.groupBy("root").agg(F.min(F.struct(F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"), "key")).alias("s")).select("s.*")
+    ids, key = row_keys(options.get("id_column", "doc_id"), options.get("text_column", "text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), ids.alias("row_id"), key.alias("row_text"))
+    kept = rows.join(first, (F.col("row_id") == F.col("id")) & (F.col("row_text") == F.col("key")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("row_id", "row_text").orderBy("row_id"))
+    return kept.withColumn("nth", nth).where("nth = 1").select("row.*").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def components_of(docs: DataFrame) -> DataFrame:

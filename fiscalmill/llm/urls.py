@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fiscalmill.llm.common import stored
+
 COMMON = 0.05
 REJECT = 0.5
 #: Pages' worth of belief in the host's share, and in the whole table's.
@@ -65,34 +67,39 @@ def _shape(segment: Column) -> Column:
     )
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``pages`` (with host, path) and each one's ``template``.
+def shaped(path: Column) -> Column:
+    """The path with every segment that is a wildcard by its form written as one."""
+    return F.concat_ws("/", F.transform(F.split(path, "/"), lambda s: F.coalesce(_shape(s), s)))
+
+
+def templates(paths: DataFrame) -> DataFrame:
+    """``paths`` (distinct host and shaped path, ``n`` pages) and each one's ``template``.
 
     The parent of a segment is known by the forms of the segments before it, so
     all levels of the tree are grown in one pass.
     """
-    parts = F.split("path", "/")
-    marked = pages.withColumn("segments", parts).withColumn("forms", F.transform("segments", lambda s: F.coalesce(_shape(s), F.lit("*"))))
-    at = marked.select("host", F.posexplode("segments").alias("level", "segment"), "forms")
-    at = at.where(_shape(F.col("segment")).isNull()).select("host", "level", "segment", F.concat_ws("/", F.slice("forms", 1, F.col("level"))).alias("parent"))
-    children = at.groupBy("host", "level", "parent", "segment").agg(F.count("*").alias("n"))
+    by_form = lambda s: s.rlike("<[nh]>")
+    marked = paths.withColumn("segments", F.split("shaped", "/")).withColumn("forms", F.transform("segments", lambda s: F.when(by_form(s), s).otherwise(F.lit("*"))))
+    at = marked.select("host", "n", F.posexplode("segments").alias("level", "segment"), "forms")
+    at = at.where(~by_form(F.col("segment"))).select("host", "n", "level", "segment", F.concat_ws("/", F.slice("forms", 1, F.col("level"))).alias("parent"))
+    children = at.groupBy("host", "level", "parent", "segment").agg(F.sum("n").alias("n"))
     totals = children.groupBy("host", "level", "parent").agg(F.sum("n").alias("total"))
-    # no more than 1 / COMMON segments of a place can be common
     common = children.join(totals.select(F.col("host").alias("h"), F.col("level").alias("l"), F.col("parent").alias("p"), "total"),
                            (F.col("host") == F.col("h")) & (F.col("level") == F.col("l")) & (F.col("parent") == F.col("p")))
+    # no more than 1 / COMMON segments of a place can be common
     common = common.where(F.col("n") >= COMMON * F.col("total")).groupBy("host").agg(
         F.collect_set(F.concat_ws("\t", F.col("level").cast("string"), "parent", "segment")).alias("common")
     )
     placed = marked.join(common.withColumnRenamed("host", "h"), F.col("host") == F.col("h"), "left")
     key = lambda s, i: F.concat_ws("\t", i.cast("string"), F.concat_ws("/", F.slice(F.col("forms"), F.lit(1), i)), s)
     literal = lambda s, i: F.coalesce(F.array_contains(F.col("common"), key(s, i)), F.lit(False))
-    kept = F.transform("segments", lambda s, i: F.coalesce(_shape(s), F.when(literal(s, i), s).otherwise(F.lit("*"))))
+    kept = F.transform("segments", lambda s, i: F.when(by_form(s) | literal(s, i), s).otherwise(F.lit("*")))
     return placed.withColumn("template", F.concat_ws("/", kept)).drop("segments", "forms", "common", "h")
 
 
-def judged(pages: DataFrame) -> DataFrame:
-    """(host, template, verdict): ``pages`` has host, template, bad (1, 0 or null)."""
-    leaves = pages.groupBy("host", "template").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+def judged(paths: DataFrame) -> DataFrame:
+    """(host, template, verdict). ``paths`` has host, template, labelled pages and bad ones."""
+    leaves = paths.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("bad"))
     # a template's place: its last literal segment made a wildcard
     place = F.regexp_replace("template", r"(^|/)(?!<[nh]>|\*)[^/]+((?:/(?:<[nh]>[^/]*|\*)?)*)$", "$1*$2")
     leaves = leaves.withColumn("place", place)
@@ -119,10 +126,16 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str,
     """(page_id, host, path, rule, verdict, template). ``labels``: (page_id, bad) with bad 1 or 0; several of a page count as the worst."""
     host, path = host_and_path(F.col("url"))
     rule, ruled = rule_of(rules)
-    rows = pages.select(F.col("page_id").alias("page_id"), F.col("url").cast("string").alias("url")).select("page_id", host.alias("host"), path.alias("path"))
-    worst = labels.where(F.col("bad").isNotNull()).groupBy(F.col("page_id").alias("labelled")).agg(F.max("bad").cast("long").alias("bad"))
-    grown = templates(rows)
-    marked = grown.join(worst, F.col("page_id") == F.col("labelled"), "left").select("host", "template", "bad")
-    verdicts = judged(marked).select(F.col("host").alias("h"), F.col("template").alias("t"), F.col("verdict").alias("method"))
-    placed = grown.join(verdicts, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")), "left")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
+    rows = rows.select("page_id", host.alias("host"), path.alias("path"), shaped(path).alias("shaped"))
+    worst = labels.where(F.col("bad").isNotNull()).groupBy(F.col("page_id").cast("long").alias("labelled")).agg(F.max("bad").cast("long").alias("bad"))
+    # pages of one host and shaped path are one row from here on, counted map-side
+    counts = rows.groupBy("host", "shaped").agg(F.count("*").alias("n"))
+    marks = rows.join(worst, F.col("page_id") == F.col("labelled")).groupBy(F.col("host").alias("h"), F.col("shaped").alias("s")).agg(F.count("*").alias("labelled"), F.sum("bad").alias("bad"))
+    paths = counts.join(marks, (F.col("host") == F.col("h")) & (F.col("shaped") == F.col("s")), "left")
+    grown = templates(paths.select("host", "shaped", "n", F.coalesce("labelled", F.lit(0)).alias("labelled"), F.coalesce("bad", F.lit(0)).alias("bad")))
+    grown = stored(grown, "templates")
+    verdicts = judged(grown).select(F.col("host").alias("h"), F.col("template").alias("t"), F.col("verdict").alias("method"))
+    known = grown.join(verdicts, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t"))).select(F.col("host").alias("kh"), F.col("shaped").alias("ks"), "template", "method")
+    placed = rows.join(known, (F.col("host") == F.col("kh")) & (F.col("shaped") == F.col("ks")), "left")
     return placed.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(ruled, F.col("method")).alias("verdict"), "template")

@@ -15,9 +15,12 @@ _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _powers: list[np.ndarray] = []
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and the number of the first word of each text (one more at the end)."""
-    inside = ~_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word, and the number of the first word of each text (one more at the end).
+
+    ``apart``: for each byte whether it parts words, white space if not given.
+    """
+    inside = ~(_SPACE if apart is None else apart)[data]
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
