@@ -114,20 +114,22 @@ def basis(words: DataFrame, weights: np.ndarray) -> np.ndarray:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((TERMS + 1, RANK), np.float32)
-        for batch in slices(batches, "data", 2 << 20):
+        for batch in slices(batches, "data", 524288):
             rows = _passages(*_documents(batch))
             weight = weights[rows]
             weight /= np.maximum(np.linalg.norm(weight, axis=1, keepdims=True), 1e-9)
-            row, column = np.nonzero(weight)
-            if not len(row):
+            weight = weight.ravel()
+            used = np.flatnonzero(weight)
+            if not len(used):
                 continue
             # the same numbers whenever a task runs again
             noise = np.random.default_rng([len(rows), int(rows[0, 0]), int(rows[-1, 0])]).standard_normal((len(rows), RANK), np.float32)
-            terms = rows[row, column]
+            terms = rows.ravel()[used].astype(np.uint16)  # sorted by counting
             order = np.argsort(terms, kind="stable")
-            cuts = np.flatnonzero(np.concatenate(([True], np.diff(terms[order]) != 0)))
-            products = noise[row[order]] * weight[row, column][order][:, None]
-            total[terms[order][cuts]] += np.add.reduceat(products, cuts, axis=0)
+            used, terms = used[order], terms[order]
+            cuts = np.flatnonzero(np.concatenate(([True], terms[1:] != terms[:-1])))
+            products = noise[used // PASSAGE] * weight[used][:, None]
+            total[terms[cuts]] += np.add.reduceat(products, cuts, axis=0)
         parts = np.array_split(total[:TERMS], _SLOTS)
         yield pa.RecordBatch.from_arrays([pa.array(range(_SLOTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slot", "data"])
 
@@ -185,44 +187,57 @@ def _last_sentence(text: str) -> str:
 def _search(items: Items, projection: np.ndarray, words: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(text, item, common words, first word) of confirmed windows, the best of each text and item."""
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    terms = (words & (TERMS - 1)).astype(np.int64)
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    place = np.arange(len(words)) - first[text]
+    if not len(words):
+        return []
+    # each text filled up to whole blocks of 8 words; what is filled in weighs nothing
+    sizes = np.diff(first)
+    blocks = -(-sizes // 8)
+    at = np.concatenate(([0], np.cumsum(blocks)))
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    terms = np.full(8 * int(at[-1]) + 1, TERMS, np.int64)
+    terms[np.arange(len(words)) + (8 * at[:-1] - first[:-1])[text]] = words & (TERMS - 1)
+    part = projection[terms[:-1]]
+    sums = (part[0::4] + part[1::4]) + (part[2::4] + part[3::4])
     for step in (4, 8):
         chosen = np.flatnonzero(items.steps == step)
-        if not len(chosen) or not len(words):
+        if not len(chosen):
             continue
-        starts = np.flatnonzero(place % step == 0)
-        sums = np.add.reduceat(projection[terms], starts, axis=0)
-        owner = text[starts]
-        last = np.searchsorted(owner, np.arange(len(first)))[1:][owner]  # a text's blocks end here
-        along = np.concatenate((np.zeros((1, RANK), np.float32), np.cumsum(sums, axis=0, dtype=np.float64)))
+        own_sums = sums if step == 4 else sums[0::2] + sums[1::2]
+        owner = np.repeat(np.arange(len(sizes)), blocks * (8 // step))
+        last = (at[1:] * (8 // step))[owner]  # a text's blocks end here
+        starts = np.arange(len(owner)) * step
+        along = np.concatenate((np.zeros((1, RANK), np.float32), np.cumsum(own_sums, axis=0)))
         widths = -(-items.sizes[chosen] // step) + 1
         for width in np.unique(widths).tolist():
             own = chosen[widths == width]
             stop = np.minimum(np.arange(len(starts)) + width, last)
-            window = (along[stop] - along[:-1]).astype(np.float32)
+            window = np.empty((len(starts), RANK), np.float32)
+            whole = max(0, len(starts) - width + 1)
+            np.subtract(along[width:], along[:whole], out=window[:whole])
+            short = np.flatnonzero(stop < np.arange(len(starts)) + width)  # at the end of a text
+            window[short] = along[stop[short]] - along[short]
             norm = np.sqrt(np.einsum("ij,ij->i", window, window))
             rows, columns = np.nonzero(window @ items.vectors[own].T >= NEAR * np.maximum(norm, 1e-9)[:, None])
             if not len(rows):
                 continue
             item = own[columns]
             a = starts[rows]
-            b = np.minimum(a + width * step, first[owner[rows] + 1])
+            b = np.minimum(a + width * step, last[rows] * step)
             shared = np.zeros(len(rows), np.float32)
             for k in range(width * step):
-                shared += np.where(a + k < b, items.holds[item, terms[np.minimum(a + k, len(terms) - 1)]], 0)
+                shared += items.holds[item, terms[np.where(a + k < b, a + k, -1)]]
             good = np.flatnonzero(shared >= SHARED * items.mass[item])
             for r in good.tolist():
-                i, low, high = int(item[r]), int(a[r]), int(b[r])
-                some, n = words[low:high].tolist(), int(items.sizes[i])
+                i, t = int(item[r]), int(owner[rows[r]])
+                low = int(a[r]) - 8 * int(at[t])
+                some, n = words[int(first[t]) + low : min(int(first[t]) + low + width * step, int(first[t + 1]))].tolist(), int(items.sizes[i])
                 found = common(items.masks[i], n, some)
                 if found < LEAST_COMMON * n:
                     continue
                 answer = len(items.answers[i])
                 if answer and common(items.answer_masks[i], answer, some) < LEAST_ANSWER * answer:
                     continue
-                key, value = (int(owner[rows[r]]), i), (-found, low - int(first[owner[rows[r]]]))
+                key, value = (t, i), (-found, low)
                 if key not in best or value < best[key]:
                     best[key] = value
     return [(t, i, -found, at) for (t, i), (found, at) in sorted(best.items())]
