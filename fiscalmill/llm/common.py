@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fiscalmill.session import scratch_dir
 
 #: Bytes of text that a task handles at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -31,7 +31,7 @@ from fiscalmill.llm.words import mix, word_hashes, word_spans
 
 CAPACITY = 4096
 GROUP = 2048
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 _OTHER = re.compile("[^\0-\u012f\u0131-\u024f]")  # beyond Latin; and the dotted capital I, which lower-cases to two letters
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, grp long"
 _PACKED = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, padded_to long"
@@ -123,17 +123,20 @@ class WordTokenizer:
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         _, at, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        distinct = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        raw, index = memoryview(data), index.astype(np.int32)
+        distinct = [bytes(raw[a:b]) for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        del starts, ends, data
         new = list(set(distinct).difference(self.words))
         if new:
             self._learn(new)
         pairs = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
-        parts = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)[index].ravel()
-        begins = self.first[parts]
-        lengths = self.first[parts + 1] - begins
-        stops = np.cumsum(lengths)
-        flat = self.pool[np.repeat(begins - (stops - lengths), lengths) + np.arange(stops[-1])]
+        parts = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1).astype(np.int32)[index].ravel()
+        begins = self.first[parts].astype(np.int32)
+        lengths = (self.first[parts + 1] - begins).astype(np.int32)
+        stops = np.cumsum(lengths, dtype=np.int64)
+        shift = np.repeat((begins - (stops - lengths)).astype(np.int32), lengths)
+        shift += np.arange(stops[-1], dtype=np.int32)
+        flat = self.pool[shift]
         return flat, np.diff(np.concatenate(([0], stops))[2 * first])
 
 
@@ -163,7 +166,7 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
 def _tokenize(path: str, end_id: int, capacity: int, groups: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, names = WordTokenizer(path), [f.split()[0] for f in _PIECES.split(", ")]
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 6 << 20):
             ids, counts = reader.encode(batch.column("text").to_pylist())
             ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             totals = counts + 1

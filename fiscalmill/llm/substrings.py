@@ -35,8 +35,8 @@ from fiscalmill.llm.words import window_hashes, word_hashes, word_spans
 
 WINDOW = 13
 ANCHOR_WORDS = 5
-BLOCK_BYTES = 8 << 20
-SHARD_WORDS = 2 << 20
+BLOCK_BYTES = 4 << 20
+SHARD_WORDS = 1 << 20
 _LAST = (1 << 63) - 1
 _BLOB = "shard long, block long, blob binary"
 

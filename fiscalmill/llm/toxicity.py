@@ -173,7 +173,7 @@ class Matcher:
         out = np.zeros((len(column), len(FEATURES)))
         if not len(starts):
             return out
-        if len(self.known) > 500_000:
+        if len(self.known) > 200_000:
             self.known.clear()
         raw = data.tobytes()
         _, at, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
