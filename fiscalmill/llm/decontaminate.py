@@ -102,6 +102,14 @@ def _summed(rows: DataFrame, kind: str) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["data"]) for r in sorted(parts, key=lambda r: r["slot"])] or [np.zeros(0)])
 
 
+def _terms(words: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Each word's term; a word that one of the four before it repeats weighs nothing, or runs of one word would drown what stands beside."""
+    terms = (words & (TERMS - 1)).astype(np.int64)
+    for k in range(1, 5):
+        terms[k:][(words[k:] == words[:-k]) & (text[k:] == text[:-k])] = TERMS
+    return terms
+
+
 def _documents(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     column = batch.column("data")
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
@@ -168,7 +176,7 @@ class Items:
         self.answers = [answers[at[k] : at[k + 1]].tolist() for k in keep]
         self.masks, self.answer_masks = [_masks(w) for w in self.words], [_masks(a) for a in self.answers]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
-        terms = [np.array(w, np.int64) & (TERMS - 1) for w in self.words]
+        terms = [_terms(np.array(w, np.uint32), np.zeros(len(w))) for w in self.words]
         vectors = np.array([projection[t].sum(axis=0) for t in terms], np.float32).reshape(-1, RANK)
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
         self.holds = np.zeros((len(keep), TERMS + 1), np.float32)
@@ -195,7 +203,7 @@ def _search(items: Items, projection: np.ndarray, words: np.ndarray, first: np.n
     at = np.concatenate(([0], np.cumsum(blocks)))
     text = np.repeat(np.arange(len(sizes)), sizes)
     terms = np.full(8 * int(at[-1]) + 1, TERMS, np.int64)
-    terms[np.arange(len(words)) + (8 * at[:-1] - first[:-1])[text]] = words & (TERMS - 1)
+    terms[np.arange(len(words)) + (8 * at[:-1] - first[:-1])[text]] = _terms(words, text)
     part = projection[terms[:-1]]
     sums = (part[0::4] + part[1::4]) + (part[2::4] + part[3::4])
     for step in (4, 8):

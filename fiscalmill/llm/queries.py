@@ -77,4 +77,17 @@ _ALL = (
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
-ORACLES: dict[str, str] = {}
+# Plain SQL for a second engine, written from the contracts.
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '')"
+
+ORACLES: dict[str, str] = {
+    "op7_substrings": f"""
+        with worded as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+        windows as (select r, doc_id, i, array_to_string(w[i : i + 12], ' ') as g from (select *, unnest(range(1, len(w) - 11)) as i from worded)),
+        earliest as (select g, min(doc_id) as least from windows group by g),
+        gone as (select distinct r, unnest(range(i, i + 13)) as pos from windows join earliest using (g) where least < doc_id),
+        words as (select r, doc_id, unnest(w) as word, generate_subscripts(w, 1) as pos from worded),
+        kept as (select r, count(*) as n, string_agg(word, ' ' order by pos) as text from words anti join gone using (r, pos) group by r)
+        select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(text, '')) as kept_sha256
+        from worded left join kept using (r)""",
+}
