@@ -48,7 +48,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of ids: one row per piece, with its digest instead of the ids."""
-    return packing.piece_digests(packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")))
+    # workers that ran the stages before still hold some memory: a smaller cache and smaller slices here
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.piece_digests(packing.pack_documents(docs, path, cached_words=250_000, slice_bytes=6 << 20))
 
 
 STAGES = [

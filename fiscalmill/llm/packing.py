@@ -31,7 +31,8 @@ from fiscalmill.llm.words import mix, word_hashes, word_spans
 
 CAPACITY = 4096
 GROUP = 2048
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
+SLICE = 8 << 20
 _OTHER = re.compile("[^\0-\u012f\u0131-\u024f]")  # beyond Latin; and the dotted capital I, which lower-cases to two letters
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, grp long"
 _PACKED = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, padded_to long"
@@ -55,14 +56,14 @@ class WordTokenizer:
     like a special token, are encoded whole, as are all texts for other tokenizers.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import Split
 
         self.reader, self.merger = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.merger.normalizer, self.merger.pre_tokenizer = None, Split(" ", "removed")
-        self.letters = _byte_letters()
+        self.letters, self.cached_words = _byte_letters(), cached_words
         vocabulary = self.reader.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -116,16 +117,16 @@ class WordTokenizer:
         return np.concatenate(ids), np.array([len(i) for i in ids])
 
     def _by_word(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.words) > CACHED_WORDS:
+        if len(self.words) > self.cached_words:
             self._clear()
         data, offsets = text_arrays(pa.array([t.lower() for t in texts], pa.large_string()))
         starts, ends, first = word_spans(data, offsets)
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         _, at, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        raw, index = memoryview(data), index.astype(np.int32)
-        distinct = [bytes(raw[a:b]) for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-        del starts, ends, data
+        raw, index = data.tobytes(), index.astype(np.int32)
+        distinct = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        del starts, ends, data, raw
         new = list(set(distinct).difference(self.words))
         if new:
             self._learn(new)
@@ -163,10 +164,10 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
     return placed
 
 
-def _tokenize(path: str, end_id: int, capacity: int, groups: int):
+def _tokenize(path: str, end_id: int, capacity: int, groups: int, cached_words: int, slice_bytes: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, names = WordTokenizer(path), [f.split()[0] for f in _PIECES.split(", ")]
-        for batch in slices(batches, "text", 6 << 20):
+        reader, names = WordTokenizer(path, cached_words), [f.split()[0] for f in _PIECES.split(", ")]
+        for batch in slices(batches, "text", slice_bytes):
             ids, counts = reader.encode(batch.column("text").to_pylist())
             ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             totals = counts + 1
@@ -201,13 +202,18 @@ def _pack(capacity: int):
     return pack
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """One row per piece: where its ids (little-endian unsigned 32 bit) stand in the document and in which sequence."""
+def pack_documents(
+    docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = CAPACITY, group: int = GROUP, cached_words: int = CACHED_WORDS, slice_bytes: int = SLICE
+) -> DataFrame:
+    """One row per piece: where its ids (little-endian unsigned 32 bit) stand in the document and in which sequence.
+
+    ``cached_words`` and ``slice_bytes`` trade a task's memory against its time; the result does not depend on them.
+    """
     # a row's number within the scan spreads repeated rows over the groups like any others
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.monotonically_increasing_id()).alias("salt"))
     size = docs.select(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()
     groups = max(1, math.ceil((size["n"] + size["b"] / 3 / capacity) / group))
-    pieces = rows.mapInArrow(_tokenize(tokenizer, end_id, capacity, groups), _PIECES)
+    pieces = rows.mapInArrow(_tokenize(tokenizer, end_id, capacity, groups, cached_words, slice_bytes), _PIECES)
     return pieces.groupBy("grp").applyInArrow(_pack(capacity), _PACKED)
 
 
