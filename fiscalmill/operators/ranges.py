@@ -1,227 +1,79 @@
 """Order-aware work without a single-task window.
 
 A window without partitions, or with one group that holds much of the table,
-sorts that share in one task.  The operators here first cut the ordering
-columns at sampled quantiles, work inside the pieces, and then carry one small
-row per piece across the cuts.  The results do not depend on the cuts; only
-the balance does.
+sorts that share in one task.  The operators here range-partition the rows on
+all grouping and ordering columns, so neither a large group nor a frequent
+value nor a shared text prefix fills a task, and carry one small row per
+partition across the cuts.  The ordered rows are stored once in the shared
+folder: every later read sees the same cuts.  Values are compared as they are.
+
+Only rows that are equal in all these columns stay together; callers fold those.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from fiscalmill.operators.small import checked_broadcast
+from fiscalmill.session import scratch_dir
 
-MAX_CUTS = 1023
-MAX_IMAGES = 6  # cutting levels; they only affect the balance
-_PIECE = "_piece"
-# Text is compared seven bytes at a time (56 bits), up to this many times.
-_TEXT_STEP, _TEXT_STEPS = 7, 3
+_PART_BITS = 33  # of monotonically_increasing_id: the row's number within its partition
 
 
-@dataclass(frozen=True)
-class Image:
-    """A number that never falls when the ordering value rises.
+def _names(columns: list[str]) -> list:
+    return [F.col(f"`{c}`") for c in columns]
 
-    ``exact`` says that equal numbers mean equal values (so far).
-    """
 
-    value: Column
-    kind: str = "bigint"
-    exact: bool = True
-    cuts: tuple | None = None
-
-
-def _images(name: str, kind: T.DataType) -> list[Image]:
-    """Numbers that order the rows as the column does, most significant first."""
-    value = F.col(f"`{name}`")
-    if isinstance(kind, T.StringType):
-        data = F.encode(value, "utf-8")
-        images = []
-        for i in range(_TEXT_STEPS):
-            digits = F.rpad(F.hex(F.substring(data, 1 + i * _TEXT_STEP, _TEXT_STEP)), 2 * _TEXT_STEP, "0")
-            images.append(Image(F.conv(digits, 16, 10).cast("bigint")))
-        # Longer texts sort after the one that ends here and stay together.
-        longer = (F.octet_length(data) > _TEXT_STEP * _TEXT_STEPS).cast("bigint")
-        return [*images, Image(longer, cuts=(0,))]
-    if isinstance(kind, T.DateType):
-        return [Image(F.unix_date(value).cast("bigint"))]
-    if isinstance(kind, T.TimestampType):
-        return [Image(F.unix_micros(value))]
-    if isinstance(kind, T.TimestampNTZType):
-        minutes = F.unix_date(value.cast("date")).cast("bigint") * 1440 + F.hour(value) * 60 + F.minute(value)
-        micros = (F.date_part(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
-        return [Image(minutes * 60_000_000 + micros)]
-    if isinstance(kind, (T.BooleanType, T.IntegralType)):
-        return [Image(value.cast("bigint"))]
-    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
-        return [Image((value * 10**kind.scale).cast("bigint"))]
-    if isinstance(kind, T.FractionalType):
-        return [Image(value.cast("double"), "double", exact=not isinstance(kind, T.DecimalType))]
-    raise TypeError(f"cannot order {name} of type {kind.simpleString()}")
-
-
-def _all_images(df: DataFrame, order_by: list[str]) -> list[Image]:
-    images: list[Image] = []
-    for column in order_by:
-        images += _images(column, df.schema[column].dataType)
-        if not images[-1].exact:
-            break
-    return images[:MAX_IMAGES]
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Ascending cut points of one number, and those of them that are hot."""
-
-    points: list
-    hot: list
-
-
-@dataclass(frozen=True)
-class Layout:
-    """Sampled cuts per image, and the groups that hold much of the table."""
-
-    cuts: list[Cuts]
-    hot_groups: list[int]
-
-    def is_hot(self, group_by: list[str]) -> Column:
-        return F.xxhash64(*group_by).isin(self.hot_groups) if group_by else F.lit(True)
-
-
-def _repeated(values: list) -> list:
-    return sorted({a for a, b in zip(values, values[1:]) if a == b})
-
-
-def sample_layout(df: DataFrame, group_by: list[str], order_by: list[str]) -> Layout:
-    """Quantiles of the first ordering number and of the group hashes.
-
-    At most ``MAX_CUTS`` numbers per sketch reach the driver.  A value or group
-    with more than two shares of the table shows as a repeated quantile.
-    """
-    n_cuts = min(MAX_CUTS, max(7, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    shares = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
-
-    def sketch(value: Column) -> Column:
-        return F.percentile_approx(value, shares, 8 * n_cuts)
-
-    first, *rest = _all_images(df, order_by)
-    sketches = [sketch(first.value).alias("_q0")]
-    if group_by:
-        sketches.append(sketch(F.xxhash64(*group_by)).alias("_g"))
-    row = df.agg(*sketches).first().asDict()
-    cuts = [_cuts(first, row["_q0"])]
-    if cuts[0].hot and rest:
-        # Only a hot first value needs the later ordering numbers.
-        later = df.agg(*[sketch(i.value).alias(f"_q{n}") for n, i in enumerate(rest)]).first()
-        for image, quantiles in zip(rest, later):
-            cuts.append(_cuts(image, quantiles))
-            if not cuts[-1].hot:
-                break
-    return Layout(cuts, _repeated(row.get("_g") or []))
-
-
-def _cuts(image: Image, quantiles: list | None) -> Cuts:
-    if image.cuts is not None:
-        return Cuts(list(image.cuts), list(image.cuts))
-    known = [q for q in quantiles or [] if q == q]
-    return Cuts(sorted(set(known)), _repeated(known) if image.exact else [])
-
-
-def _piece(value: Column, kind: str, cuts: Cuts) -> Column:
-    """Piece number: 2k below the k-th cut, 2k+1 on a hot value, least for NULL.
-
-    The number of smaller cuts is found by halving steps over one array.
-    """
-    below = F.lit(0)
-    if cuts.points:
-        table = F.split(F.lit(",".join(map(repr, cuts.points))), ",").cast(f"array<{kind}>")
-        steps = [1 << i for i in reversed(range(len(cuts.points).bit_length()))]
-        # Past the end of the array the comparison is NULL, so the step is not taken.
-        below = F.aggregate(
-            F.lit(steps), F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) < value, at + step).otherwise(at)
-        )
-    on_hot = value.isin(cuts.hot).cast("int") if cuts.hot else F.lit(0)
-    # Not nullable, or joins on pieces would push IS NOT NULL filters, with all
-    # of this inlined again, below the projections.
-    return F.coalesce(below * 2 + on_hot, F.lit(-1))
-
-
-def with_pieces(df: DataFrame, order_by: list[str], layout: Layout) -> tuple[DataFrame, list[str]]:
-    """Add piece columns that follow the lexicographic order of ``order_by``.
-
-    A hot value gets a piece of its own, which the next ordering number then
-    cuts again, so one frequent value cannot fill a task.  Later numbers are
-    only computed for rows on hot values.
-    """
-    names: list[str] = []
-    on_hot = F.lit(True)
-    for image, cuts in zip(_all_images(df, order_by), layout.cuts):
-        name, value = f"{_PIECE}{len(names)}", f"{_PIECE}{len(names)}_v"
-        df = df.withColumn(value, F.when(on_hot, image.value) if names else image.value)
-        piece = _piece(F.col(value), image.kind, cuts)
-        df = df.withColumn(name, F.coalesce(F.when(on_hot, piece), F.lit(0)) if names else piece).drop(value)
-        names.append(name)
-        on_hot = on_hot & (F.pmod(F.col(name), F.lit(2)) == 1)
-    return df, names
+def ordered_parts(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """The rows with ``_part`` and ``_at``: their place in the total order, NULLs first."""
+    spark = df.sparkSession
+    keys = [c.asc_nulls_first() for c in _names(order_by)]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_row", F.monotonically_increasing_id())
+    path = scratch_dir(spark, "ordered")
+    numbered.write.parquet(path)
+    stored = spark.read.schema(numbered.schema).parquet(path)
+    return stored.select(
+        *_names(df.columns), F.shiftright("_row", _PART_BITS).alias("_part"), F.col("_row").bitwiseAND((1 << _PART_BITS) - 1).alias("_at")
+    )
 
 
 def dense_ids(df: DataFrame, order_by: list[str], id_name: str) -> DataFrame:
     """Ids 1..n in the total order of ``order_by``, for any number of rows."""
-    pieced, pieces = with_pieces(df, order_by, sample_layout(df, [], order_by))
-    # One row per piece, so this window is bounded by the number of cuts.
-    sizes = pieced.groupBy(*pieces).agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy(*pieces).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select(*pieces, F.coalesce(before, F.lit(0)).alias("_before"))
-    position = F.row_number().over(Window.partitionBy(*pieces).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order_by]))
-    numbered = pieced.withColumn("_pos", position).join(offsets, pieces)
-    return numbered.select((F.col("_before") + F.col("_pos")).cast("bigint").alias(id_name), *[F.col(f"`{c}`") for c in df.columns])
+    rows = ordered_parts(df, order_by)
+    # One row per partition: the window and the broadcast are bounded by their number.
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = F.broadcast(sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before")))
+    number = (F.col("_before") + F.col("_at") + 1).cast("bigint")
+    return rows.join(offsets, "_part").select(number.alias(id_name), *_names(df.columns))
 
 
 def small_set_ids(df: DataFrame, order_by: str, id_name: str) -> DataFrame:
-    """Ids for a dimension set that is already distinct and small by nature."""
+    """Ids for a set of a handful of values by construction (such as the four grades)."""
     number = F.row_number().over(Window.orderBy(F.col(order_by).asc_nulls_first())).cast("bigint")
     return df.select(number.alias(id_name), *df.columns)
 
 
 def set_ids(df: DataFrame, order_by: str, id_name: str) -> DataFrame:
-    """Ids for a distinct set, in one small window only if it is truly small."""
-    checked = checked_broadcast(df)
-    return dense_ids(df, [order_by], id_name) if checked is df else small_set_ids(checked, order_by, id_name)
+    """Ids for a distinct set of any size."""
+    return dense_ids(df, [order_by], id_name)
 
 
-def with_neighbour(
-    df: DataFrame, group_by: list[str], order_by: list[str], out: str, layout: Layout, following: bool = False
-) -> DataFrame:
+def with_neighbour(df: DataFrame, group_by: list[str], order_by: list[str], out: str, following: bool = False) -> DataFrame:
     """Add the first ordering column of the previous (or following) row.
 
     Same as ``lag`` / ``lead`` of ``order_by[0]`` over (partition by group_by
-    order by order_by).  Groups the layout calls hot are cut into pieces, so a
-    group may hold any share of the rows; the others stay whole.
+    order by order_by), whatever share of the rows a group holds.
     """
-    step = F.lead if following else F.lag
-    target, order = F.col(f"`{order_by[0]}`"), [F.col(f"`{c}`").asc_nulls_first() for c in order_by]
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    if group_by and not layout.hot_groups:
-        window = Window.partitionBy(*[f"`{c}`" for c in group_by]).orderBy(*order)
-        return df.select(*columns, step(target).over(window).alias(out))
-
-    hot = layout.is_hot(group_by)
-    pieced, pieces = with_pieces(df, order_by, layout)
-    pieced = pieced.withColumns({p: F.coalesce(F.when(hot, F.col(p)), F.lit(0)) for p in pieces})
-    # Structs compare NULL fields as equal, so NULL groups join to themselves.
-    pieced = pieced.withColumn("_g", F.struct(*group_by) if group_by else F.struct(F.lit(0).alias("_all")))
-    keys = ["_g", *pieces]
-    near = step(F.struct(target.alias("v"))).over(Window.partitionBy(*keys).orderBy(*order))
-    # One row per hot group and piece: bounded by the cuts, not by the table.
-    edge = pieced.filter(hot).groupBy(*keys).agg((F.min if following else F.max)(target).alias("_edge"))
-    carried = edge.select(*keys, step("_edge").over(Window.partitionBy("_g").orderBy(*pieces)).alias("_carried"))
-    joined = pieced.withColumn("_near", near).join(carried, keys, "left")
-    value = F.when(F.col("_near").isNotNull(), F.col("_near.v")).otherwise(F.col("_carried"))
-    return joined.select(*columns, value.alias(out))
+    step, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
+    group = F.struct(*_names(group_by)) if group_by else F.struct(F.lit(0).alias("all"))
+    rows = ordered_parts(df, [*group_by, *order_by]).withColumn("_own", F.struct(group.alias("g"), F.col(f"`{order_by[0]}`").alias("v")))
+    # One row per partition, and none of them is empty: its neighbour's edge is the next row over the cut.
+    edges = rows.groupBy("_part").agg(edge("_own", "_at").alias("_edge"))
+    carried = F.broadcast(edges.select("_part", step("_edge").over(Window.orderBy("_part")).alias("_carried")))
+    near = rows.withColumn("_near", step("_own").over(Window.partitionBy("_part").orderBy("_at"))).join(carried, "_part")
+    found = F.coalesce("_near", "_carried")
+    value = F.when(found["g"].eqNullSafe(F.col("_own.g")), found["v"])
+    return near.select(*_names(df.columns), value.alias(out))

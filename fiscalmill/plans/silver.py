@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fiscalmill.functions.keys import surrogate_key
 from fiscalmill.functions.text import NOT_AVAILABLE, decimal_comma, grade, label_map, null_if_in, safe_double, strip
 from fiscalmill.operators.dedup import deduplicate
-from fiscalmill.operators.ranges import small_set_ids
+from fiscalmill.operators.ranges import set_ids, small_set_ids
 
 # The ratings and their descriptions.
 RATING_TEXT = {
@@ -70,7 +70,7 @@ def gdp(bronze: DataFrame) -> DataFrame:
     return deduplicate(cleaned, ["cod_ibge", "ano"], [F.col("pib").desc_nulls_last()])
 
 
-def dim_state(ratings: DataFrame, register: DataFrame, ids: Callable = small_set_ids) -> DataFrame:
+def dim_state(ratings: DataFrame, register: DataFrame, ids: Callable = set_ids) -> DataFrame:
     """All states of both tables with a dense id.
 
     Over stored tables ``ids=set_ids`` also copes with a column full of other

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fiscalmill.functions.text import strip
-from fiscalmill.operators.ranges import Layout, sample_layout, with_neighbour
+from fiscalmill.operators.ranges import with_neighbour
 
 N_ROWS = "n_rows"
 
@@ -250,13 +250,8 @@ def _neighbours(rows: DataFrame, groups: list[str], order: list[str], following:
 
     All copies of a row but one have a copy of themselves as neighbour.
     """
-    layout: Layout = sample_layout(rows, groups, order)
-    if groups and not layout.hot_groups:
-        # No group is large: one window, and equal rows fold afterwards.
-        near = with_neighbour(rows, groups, order, "_near", layout, following)
-        return near.groupBy(*near.columns).agg(F.count("*").alias(N_ROWS))
     folded = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-    near = with_neighbour(folded, groups, order, "_other", layout, following)
+    near = with_neighbour(folded, groups, order, "_other", following)
     # A different row may still start like this one; then all copies agree.
     same = F.col("_other").eqNullSafe(F.col(order[0]))
     other = F.struct(F.col("_other").alias("near"), F.when(same, F.col("_copies")).otherwise(1).alias("n"))

@@ -15,9 +15,6 @@ DEFAULTS = {
     # Text cleaning is heavy per byte, so small shuffles keep some parallelism.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A join on (municipality, year) may reuse a layout hashed on municipality
-    # alone, so the star joins after the growth window need no new shuffle.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }

@@ -185,38 +185,38 @@ def test_dense_ids_of_every_type(spark, kind, values):
 @pytest.mark.parametrize("following", [False, True])
 def test_neighbours_match_a_window(spark, groups, following, values):
     df = skewed(spark).select("g", "a", "b").distinct()
-    layout = ranges.sample_layout(df, groups, ["a", "b"])
-    if groups == ["g"]:
-        assert layout.hot_groups  # the hot group is found and cut
-    near = ranges.with_neighbour(df, groups, ["a", "b"], "near", layout, following)
+    near = ranges.with_neighbour(df, groups, ["a", "b"], "near", following)
     window = Window.partitionBy(*groups).orderBy("a", "b")
     # Ties on (a, b) within a group only differ in other columns.
     want = df.withColumn("near", (F.lead if following else F.lag)("a").over(window))
     assert values(near.groupBy(*groups, "a", "near").count()) == values(want.groupBy(*groups, "a", "near").count())
 
 
-def test_hot_values_are_cut_again(spark):
-    df = skewed(spark)
-    layout = ranges.sample_layout(df, [], ["a", "b"])
-    pieced, pieces = ranges.with_pieces(df, ["a", "b"], layout)
-    largest = pieced.groupBy(*pieces).count().agg(F.max("count")).first()[0]
-    assert len(pieces) == 2 and largest < df.count() / 10
-    text = ranges.sample_layout(df, [], ["t", "a"])
-    assert len(text.cuts) > 4  # three steps of text, its length, then the number
+BALANCE = {
+    "hot group": (["case when id % 2 = 0 then 'hot' else concat('g', id % 5) end as k", "id as v"], ["k", "v"]),
+    "hot text": (["case when id % 2 = 0 then repeat('Customer', 9) else concat('c', id) end as k", "id as v"], ["k", "v"]),
+    "shared prefix": (["concat('https://www.example.com/page/', id) as k"], ["k"]),
+    "large numbers": (["case when id % 2 = 0 then 9007199254740993 else id end as k", "id as v"], ["k", "v"]),
+}
 
 
-def test_no_single_partition_for_large_orders(spark):
-    df = skewed(spark)
-    plan = ranges.dense_ids(df, ["b", "a"], "id")._jdf.queryExecution().executedPlan().toString()
-    # The only single partition is the one that adds up the piece sizes.
-    assert plan.count("SinglePartition") == 1
+@pytest.mark.parametrize("case", list(BALANCE))
+def test_no_part_holds_a_large_share(spark, case):
+    columns, order = BALANCE[case]
+    parts = ranges.ordered_parts(spark.range(20_000).selectExpr(*columns), order).groupBy("_part").count().collect()
+    assert sum(r["count"] for r in parts) == 20_000
+    assert max(r["count"] for r in parts) < 2 * 20_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def test_set_ids(spark, values, monkeypatch):
+def test_texts_that_differ_by_a_zero_byte(spark, values):
+    df = spark.range(4000).selectExpr("case when id % 2 = 0 then 'a' else concat('a', chr(0)) end as t", "id % 2000 as v", "id")
+    number = F.row_number().over(Window.orderBy("t", "v", "id")).cast("bigint")
+    assert values(ranges.dense_ids(df, ["t", "v", "id"], "n")) == values(df.select(number.alias("n"), *df.columns))
+
+
+def test_set_ids(spark, values):
     df = spark.range(50).selectExpr("concat('v', id * 7 % 50) as v")
-    small = ranges.set_ids(df, "v", "id")
-    monkeypatch.setattr(ranges, "checked_broadcast", lambda d: d)  # as if the set were large
-    assert values(small) == values(ranges.set_ids(df, "v", "id"))
+    assert values(ranges.set_ids(df, "v", "id")) == values(ranges.small_set_ids(df, "v", "id"))
 
 
 def test_checked_broadcast(spark, values):
