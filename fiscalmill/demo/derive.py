@@ -10,10 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Two-letter state codes by nation key; the last nation keeps its own name.
-STATE_LETTERS = "roacamrrpaaptomapicernpbpealsebamgesrjspprscrsms"
+from fiscalmill.functions.text import STATE_BY_PREFIX
 
-STATE = f"case when n_nationkey < 24 then substr('{STATE_LETTERS}', n_nationkey * 2 + 1, 2) else lower(n_name) end"
+# State codes by nation key, in the order of the code prefixes; the last nation keeps its own name.
+STATE = (
+    "case n_nationkey "
+    + " ".join(f"when {key} then lower('{code}')" for key, code in enumerate(list(STATE_BY_PREFIX.values())[:24]))
+    + " else lower(n_name) end"
+)
 
 BASE = """
 select o_custkey as k, year(o_orderdate) as y,

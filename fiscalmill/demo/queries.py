@@ -475,7 +475,9 @@ def _order_days(spark, sf, datepart):
     first, last = orders.agg(F.min("d"), F.max("d")).first()
     unit = F.date_trunc(datepart, F.lit(first)) if datepart != "day" else F.lit(first)
     start = spark.range(1).select(unit.cast("date")).first()[0]
-    spine = date_spine(spark, datepart, start, last)
+    # The end is excluded, so it lies one part after the last one that has orders.
+    end = spark.range(1).select(F.expr(f"timestampadd({datepart}, 1, date_trunc('{datepart}', date'{last}'))").cast("date")).first()[0]
+    spine = date_spine(spark, datepart, start, end)
     counts = orders.groupBy(F.trunc("d", datepart) if datepart != "day" else F.col("d")).agg(F.count("*").alias("orders"))
     counts = counts.toDF(f"date_{datepart}", "orders")
     return spine.join(counts, f"date_{datepart}", "left").select(f"date_{datepart}", F.coalesce("orders", F.lit(0)).alias("orders"))
@@ -727,8 +729,8 @@ def dq_sequential_values(spark, sf):
 
 @query
 def dq_sequential_values_global(spark, sf):
-    """Order keys of finished orders, which leave gaps."""
-    return checks.sequential_values(table(spark, sf, "orders").filter("o_orderstatus = 'F'"), "o_orderkey")
+    """Total prices of all orders, which leave gaps."""
+    return checks.sequential_values(table(spark, sf, "orders").selectExpr("cast(floor(o_totalprice) as bigint) as price"), "price")
 
 
 @query
@@ -848,18 +850,21 @@ def new_years(spark, sf):
 def append_years(spark, sf):
     """Store the older GDP years, then append: only the new years arrive."""
     gdp = derived(spark, sf, RAW_GDP).select("ano", "cod_ibge", "pib")
+    unreadable = gdp.select(F.concat(F.lit("year "), "ano").alias("ano"), "cod_ibge", "pib")
+    gdp = gdp.unionAll(unreadable)
     tables = LayerTables(spark, scratch_dir(spark, "append"))
     append_new_years(tables, "raw", "gdp", gdp.filter("ano < '1998'"), "ano")
-    stored = append_new_years(tables, "raw", "gdp", gdp, "ano")
+    append_new_years(tables, "raw", "gdp", gdp, "ano")
+    stored = append_new_years(tables, "raw", "gdp", gdp, "ano")  # adds nothing
     return stored.groupBy("ano").agg(F.count("*").alias("n"))
 
 
 @query
 def csv_load(spark, sf):
-    """Write the register as CSV, read it back as text and store it."""
+    """Write the register as CSV with its columns in another order, read it back by name as text and store it."""
     path = scratch_dir(spark, "csv")
-    keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    derived(spark, sf, RAW_CITY).write.options(**keep).csv(path)
+    keep = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+    derived(spark, sf, RAW_CITY).select(*reversed(CITY_COLUMNS)).write.options(**keep).csv(path)
     tables = LayerTables(spark, scratch_dir(spark, "raw"))
     return tables.write("raw", "cidades_brasil", read_csv(spark, path, CITY_COLUMNS))
 

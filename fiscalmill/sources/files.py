@@ -21,13 +21,18 @@ GDP_COLUMNS = ["ano", "cod_ibge", "nome_municipio", "uf", "pib"]
 LAYERS = ("raw", "bronze", "silver", "gold")
 
 
-def read_csv(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
-    """Header CSV with every column as text, so keys keep their raw spelling.
+def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = False) -> DataFrame:
+    """Header CSV, its columns taken by name and kept as text, so keys keep their raw spelling.
 
-    Empty cells are NULL, quoted or not.
+    Empty cells are NULL, quoted or not.  Cells that hold line breaks need
+    ``multi_line``; such files cannot be split between tasks.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return nullcheck_table(spark.read.csv(path, header=True, schema=schema, enforceSchema=True))
+    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
+    names = {c.strip(): c for c in raw.columns}
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    return nullcheck_table(raw.select(*[F.col(f"`{names[c]}`").alias(c) for c in columns]))
 
 
 def range_sorted(df: DataFrame, *columns: str) -> DataFrame:
@@ -119,7 +124,14 @@ def new_years_only(incoming: DataFrame, year: str, stored: DataFrame, stored_yea
 
 
 def append_new_years(tables: LayerTables, layer: str, name: str, incoming: DataFrame, year: str) -> DataFrame:
-    """Append the years not stored yet; history is never rewritten."""
+    """Append the years not stored yet; history is never rewritten.
+
+    Rows whose year cannot be read go to the table ``<name>_rejected``, which is
+    replaced each time; they are never appended, so a second run adds nothing.
+    """
+    readable = F.trim(F.col(year).cast("string")).try_cast("bigint").isNotNull()
+    tables.write(layer, f"{name}_rejected", incoming.filter(~readable))
+    incoming = incoming.filter(readable)
     if tables.exists(layer, name):
         incoming = new_years_only(incoming, year, tables.read(layer, name), year)
     return tables.write(layer, name, incoming, partition_by=year, mode="append")

@@ -106,7 +106,9 @@ def header_positions(sheets: DataFrame) -> DataFrame:
     headers = leading.join(rows, "file").filter("row_index = header_row")
     cells = headers.select("file", "header_row", F.posexplode("cells").alias("at", "cell"))
     name = strip("cell")
-    known = F.create_map(*[F.lit(x) for pair in HEADER_NAMES.items() for x in pair])
+    # A header may carry a target's own name already, in capitals.
+    names = {**HEADER_NAMES, **{c.upper(): c for c in RATING_COLUMNS}}
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     target = F.when(name.rlike(RATING_BY_YEAR), "classificacao_capag").otherwise(F.try_element_at(known, name))
     last = [F.max(F.when(target == c, F.col("at"))).alias(c) for c in RATING_COLUMNS]
     return cells.groupBy("file", "header_row").agg(*last).select("file", "header_row", F.struct(*RATING_COLUMNS).alias("positions"))

@@ -133,3 +133,28 @@ def test_gdp_feed(frame, values):
     feed = json.dumps([dict(zip(("D3C", "D1C", "D1N", "V"), r)) for r in records])
     rows = json_feeds.gdp_from_records(json_feeds.gdp_records(frame("json string", (feed,))))
     assert values(rows) == [(2020, 3550308, "SP", "SP", 12.5), (2021, 9900000, "?", None, None)]
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('codigo,id,nome,uf\n11,1,"Vila\nNova ""A""",RO\n')
+    df = read_csv(spark, str(tmp_path / "x.csv"), ["id", "codigo", "nome", "uf"], multi_line=True)
+    assert [tuple(r) for r in df.collect()] == [("1", "11", 'Vila\nNova "A"', "RO")]
+    with pytest.raises(ValueError, match="no column pib"):
+        read_csv(spark, str(tmp_path / "x.csv"), ["id", "pib"])
+
+
+def test_unreadable_years_are_set_aside_and_appends_repeat(spark, tmp_path, frame, values):
+    tables = LayerTables(spark, str(tmp_path))
+    rows = frame("ano string, v int", ("2019", 1), ("n/a", 2), (None, 3))
+    for _ in range(3):
+        stored = append_new_years(tables, "raw", "y", rows, "ano")
+    assert values(stored.select("v")) == [(1,)]
+    assert values(tables.read("raw", "y_rejected").select("v")) == [(2,), (3,)]
+
+
+def test_headers_that_carry_the_target_names(spark):
+    head = ("f", 2020, 0, ["COD_IBGE", "Instituição", "POPULACAO", "NOTA_1", "ANO_BASE"])
+    rows = [head, ("f", 2020, None, ["1100015", "Alta Floresta", "22728", "A", "2018"])]
+    df = spark.createDataFrame(rows, "file string, year long, row_index long, cells array<string>")
+    row = sheets.unify_sheets(df).first()
+    assert (row["cod_ibge"], row["populacao"], row["nota_1"], row["ano_base"]) == ("1100015", "22728", "A", "2018")
