@@ -14,8 +14,8 @@
    must hold in order, and by its answer: of the item's last sentence as well.
 
 The benchmark is taken in blocks of at most about ``ITEM_BLOCK`` items, each small
-enough to send to all tasks. Terms in over a twentieth of all passages weigh nothing,
-except where an item would lose half its words.
+enough to send to all tasks. Frequent terms weigh little, but never nothing: an item of
+frequent words alone, or one that most passages hold, is found like any other.
 
 Null and empty texts and items match nothing, nor do items without words. Null ids are
 kept; repeated rows give repeated results. Long texts are searched whole, in segments
@@ -47,7 +47,6 @@ LEAST_COMMON = 0.65
 LEAST_ANSWER = 0.5
 _SLOTS = 16
 SEGMENT = 1 << 17
-_FREQUENT = 0.05
 _FOUND = "doc_id long, item_id long, n_common int, n_item_words int, first_word long"
 
 
@@ -280,24 +279,16 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     counts = _summed(words.where("kind = 1"), "i8")
     words = words.where("kind = 0").select("doc_id", "data")
     n, df = (counts[TERMS], counts[:TERMS]) if len(counts) else (0.0, np.zeros(TERMS))
-    rare = np.append(np.log((n + 1) / (df + 1)), 0).astype(np.float32)
+    weights = np.append(np.log((n + 1) / (df + 0.5)), 0).astype(np.float32)  # above 0 even for a term of all passages
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     blocks = max(1, math.ceil(items.count() / ITEM_BLOCK))
-    found, weights, vectors = None, None, None
+    found, projection = None, None
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         taken = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=str)
-        if weights is None:
-            weights = np.where(np.append(df, 0) > _FREQUENT * n, 0, rare).astype(np.float32)
-            vectors = basis(words, weights)
-        own = weights.copy()
-        for _, text in taken:  # an item of frequent words alone is compared by those
-            hashed, _ = hashed_words(pa.array([text], pa.large_string()))
-            terms = hashed & (TERMS - 1)
-            if len(terms) and (own[terms] > 0).mean() < 0.5:
-                own[terms] = np.maximum(rare[terms], 1e-3)
-        projection = np.concatenate([vectors, np.zeros((1, RANK))]).astype(np.float32) * own[:, None]
-        index = Items(taken, projection, own)
+        if projection is None:
+            projection = np.concatenate([basis(words, weights), np.zeros((1, RANK))]).astype(np.float32) * weights[:, None]
+        index = Items(taken, projection, weights)
         if index.ids:
             result = words.mapInArrow(_finder(index, projection), _FOUND)
             found = result if found is None else found.unionByName(result)

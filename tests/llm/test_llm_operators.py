@@ -396,6 +396,24 @@ def test_decontamination_finds_leaks_and_paraphrases(spark, sf_dir):
     assert len({k for k in got - exact if k[0] is not None and k[0] < 900_000}) <= 1
 
 
+@pytest.mark.parametrize("shape", ["third", "three", "frequent"])
+def test_decontamination_finds_items_of_frequent_words(spark, sf_dir, shape):
+    docs = read(spark, sf_dir, "documents").where("text is not null").orderBy("doc_id").select("doc_id", "text").collect()
+    item = read(spark, sf_dir, "benchmark").orderBy("item_id").first()["text"]
+    if shape == "third":  # short texts, a third of them copies of one that holds the item
+        rows = [(k, f"{docs[0]['text'][:300]} {item}" if k % 3 == 0 else r["text"]) for k, r in enumerate(docs)]
+        want = {k for k in range(len(docs)) if k % 3 == 0}
+    elif shape == "three":
+        rows, want = [(0, docs[0]["text"][:400]), (1, f"{docs[1]['text'][:200]} {item} {docs[2]['text'][:200]}"), (2, item)], {1, 2}
+    else:  # each word of the item is in every text, in another order
+        words = item.split()
+        rows = [(k, " ".join(random.Random(k).sample(words, len(words)))) for k in range(40)] + [(40, item)]
+        want = {40}
+    got = decontaminate.find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    found = {r["doc_id"]: r["n_common"] for r in got.collect()}
+    assert want <= set(found) and all(found[k] == len(re.findall(r"[^\W_]+", item)) for k in want)
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(50):
