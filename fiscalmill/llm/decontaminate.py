@@ -6,12 +6,13 @@
 2. A randomised SVD of that matrix: each task multiplies its passages with random
    numbers, the products are summed over all tasks, and an orthogonal basis of the sum
    spans the leading right singular vectors. Its size is fixed (``TERMS`` x ``RANK``).
-3. Windows of the documents, about as long as an item, are projected into that space
-   and compared with the items by cosine. As the projection is linear, blocks of a few
-   words are compared once and windows are sums of blocks.
-4. A window near enough that also holds enough of the item's weighted terms is checked
-   by the longest common subsequence with the item, ``LEAST_COMMON`` of whose words it
-   must hold in order, and by its answer: of the item's last sentence as well.
+3. Windows of the documents, about as long as an item, are candidates when so many of
+   their words stand in the item that the next step can succeed: a bound that loses
+   nothing. Counts are sums of blocks of a few words. The cosine with the item in that
+   space orders the candidates of a document, so that a good one spares the weaker.
+4. Candidates are confirmed by the longest common subsequence with the item,
+   ``LEAST_COMMON`` of whose words they must hold in order, and by its answer: of the
+   item's last sentence as well.
 
 The benchmark is taken in blocks of at most about ``ITEM_BLOCK`` items, each small
 enough to send to all tasks. Frequent terms weigh little, but never nothing: an item of
@@ -41,11 +42,10 @@ TERMS = 1 << 15
 RANK = 32
 PASSAGE = 32
 ITEM_BLOCK = 2000
-NEAR = 0.6
-SHARED = 0.5
 LEAST_COMMON = 0.65
 LEAST_ANSWER = 0.5
 _SLOTS = 16
+_TOGETHER = 256
 SEGMENT = 1 << 17
 _FOUND = "doc_id long, item_id long, n_common int, n_item_words int, first_word long"
 
@@ -165,7 +165,7 @@ def _masks(words: list[int]) -> dict[int, int]:
 class Items:
     """A block of benchmark items, ready to be searched for."""
 
-    def __init__(self, rows: list[tuple[int, str]], projection: np.ndarray, weights: np.ndarray):
+    def __init__(self, rows: list[tuple[int, str]], projection: np.ndarray):
         rows = [(i, t) for i, t in rows if t and re.search(r"[^\W_]", t)]
         words, first = hashed_words(pa.array([t for _, t in rows], pa.large_string()))
         answers, at = hashed_words(pa.array([_last_sentence(t) for _, t in rows], pa.large_string()))
@@ -178,12 +178,21 @@ class Items:
         terms = [_terms(np.array(w, np.uint32), np.zeros(len(w))) for w in self.words]
         vectors = np.array([projection[t].sum(axis=0) for t in terms], np.float32).reshape(-1, RANK)
         self.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-        self.holds = np.zeros((len(keep), TERMS + 1), np.float32)
-        for k, t in enumerate(terms):
-            self.holds[k, t] = weights[t]
-        self.mass = np.array([weights[t].sum() for t in terms], np.float32)
+        # what the longest common subsequence must reach
+        self.least = np.array([next(c for c in range(n + 1) if c >= LEAST_COMMON * n) for n in self.sizes.tolist()], np.int64)
         # short items need windows at finer steps
         self.steps = np.where(self.sizes < 24, 4, 8)
+        # items of one step and about one length are counted together: (step, items, which terms each holds)
+        self.groups: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for step in (4, 8):
+            chosen = np.flatnonzero(self.steps == step)
+            chosen = chosen[np.argsort(self.sizes[chosen], kind="stable")]
+            for at in range(0, len(chosen), _TOGETHER):
+                own = chosen[at : at + _TOGETHER]
+                holds = np.zeros((TERMS + 1, len(own)), np.uint8)
+                for k, i in enumerate(own.tolist()):
+                    holds[np.array(self.words[i]) & (TERMS - 1), k] = 1
+                self.groups.append((step, own, holds))
 
 
 def _last_sentence(text: str) -> str:
@@ -201,52 +210,58 @@ def _search(items: Items, projection: np.ndarray, words: np.ndarray, first: np.n
     blocks = -(-sizes // 8)
     at = np.concatenate(([0], np.cumsum(blocks)))
     text = np.repeat(np.arange(len(sizes)), sizes)
-    terms = np.full(8 * int(at[-1]) + 1, TERMS, np.int64)
-    terms[np.arange(len(words)) + (8 * at[:-1] - first[:-1])[text]] = _terms(words, text)
-    part = projection[terms[:-1]]
-    sums = (part[0::4] + part[1::4]) + (part[2::4] + part[3::4])
-    for step in (4, 8):
-        chosen = np.flatnonzero(items.steps == step)
-        if not len(chosen):
-            continue
-        own_sums = sums if step == 4 else sums[0::2] + sums[1::2]
+    place = np.arange(len(words)) + (8 * at[:-1] - first[:-1])[text]
+    terms = np.full(8 * int(at[-1]), TERMS, np.int64)
+    terms[place] = words & (TERMS - 1)
+    weighed = np.full(len(terms), TERMS, np.int64)
+    weighed[place] = _terms(words, text)
+    # (text, item, start, most words in common) of all windows that can succeed
+    found: list[np.ndarray] = []
+    for step, group, holds in items.groups:
+        held = holds[terms]
+        while len(held) * step > len(terms):
+            held = held[0::2] + held[1::2]
         owner = np.repeat(np.arange(len(sizes)), blocks * (8 // step))
         last = (at[1:] * (8 // step))[owner]  # a text's blocks end here
-        starts = np.arange(len(owner)) * step
-        along = np.concatenate((np.zeros((1, RANK), np.float32), np.cumsum(own_sums, axis=0)))
-        widths = -(-items.sizes[chosen] // step) + 1
+        along = np.zeros((len(held) + 1, len(group)), np.uint32)
+        np.cumsum(held, axis=0, dtype=np.uint32, out=along[1:])
+        widths = -(-items.sizes[group] // step) + 1
         for width in np.unique(widths).tolist():
-            own = chosen[widths == width]
-            stop = np.minimum(np.arange(len(starts)) + width, last)
-            window = np.empty((len(starts), RANK), np.float32)
-            whole = max(0, len(starts) - width + 1)
-            np.subtract(along[width:], along[:whole], out=window[:whole])
-            short = np.flatnonzero(stop < np.arange(len(starts)) + width)  # at the end of a text
-            window[short] = along[stop[short]] - along[short]
-            norm = np.sqrt(np.einsum("ij,ij->i", window, window))
-            rows, columns = np.nonzero(window @ items.vectors[own].T >= NEAR * np.maximum(norm, 1e-9)[:, None])
-            if not len(rows):
-                continue
-            item = own[columns]
-            a = starts[rows]
-            b = np.minimum(a + width * step, last[rows] * step)
-            shared = np.zeros(len(rows), np.float32)
-            for k in range(width * step):
-                shared += items.holds[item, terms[np.where(a + k < b, a + k, -1)]]
-            good = np.flatnonzero(shared >= SHARED * items.mass[item])
-            for r in good.tolist():
-                i, t = int(item[r]), int(owner[rows[r]])
-                low = int(a[r]) - 8 * int(at[t])
-                some, n = words[int(first[t]) + low : min(int(first[t]) + low + width * step, int(first[t + 1]))].tolist(), int(items.sizes[i])
-                found = common(items.masks[i], n, some)
-                if found < LEAST_COMMON * n:
-                    continue
-                answer = len(items.answers[i])
-                if answer and common(items.answer_masks[i], answer, some) < LEAST_ANSWER * answer:
-                    continue
-                key, value = (t, i), (-found, low)
-                if key not in best or value < best[key]:
-                    best[key] = value
+            low, high = np.searchsorted(widths, [width, width + 1])
+            stop = np.minimum(np.arange(len(held)) + width, last)
+            own = along[:, low:high]
+            counts = np.empty((len(held), high - low), np.uint32)
+            whole = max(0, len(held) - width + 1)
+            np.subtract(own[width:], own[:whole], out=counts[:whole])
+            short = np.flatnonzero(stop < np.arange(len(held)) + width)  # at the end of a text
+            counts[short] = own[stop[short]] - own[short]
+            rest = np.arange(whole, len(held))
+            counts[rest] = own[stop[rest]] - own[rest]
+            rows, columns = np.nonzero(counts >= items.least[group[low:high]].astype(np.uint32))
+            if len(rows):
+                found.append(np.stack([owner[rows], group[low:high][columns], rows * step, np.minimum(rows + width, last[rows]) * step, counts[rows, columns]], axis=1))
+    if not found:
+        return []
+    windows = np.concatenate(found)
+    near = np.empty(len(windows))
+    for k, (_, i, a, b, _) in enumerate(windows.tolist()):
+        vector = projection[weighed[a:b]].sum(axis=0)
+        near[k] = vector @ items.vectors[i] / max(float(np.linalg.norm(vector)), 1e-9)
+    for t, i, a, _, most in windows[np.argsort(-near, kind="stable")].tolist():
+        n, key = int(items.sizes[i]), (t, i)
+        if key in best and most < -best[key][0]:
+            continue
+        low = a - 8 * int(at[t])
+        width = (-(-n // int(items.steps[i])) + 1) * int(items.steps[i])
+        some = words[int(first[t]) + low : min(int(first[t]) + low + width, int(first[t + 1]))].tolist()
+        same = common(items.masks[i], n, some)
+        if same < LEAST_COMMON * n:
+            continue
+        answer = len(items.answers[i])
+        if answer and common(items.answer_masks[i], answer, some) < LEAST_ANSWER * answer:
+            continue
+        if key not in best or (-same, low) < best[key]:
+            best[key] = (-same, low)
     return [(t, i, -found, at) for (t, i), (found, at) in sorted(best.items())]
 
 
@@ -288,7 +303,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
         taken = sorted(((r["item_id"], r["text"]) for r in part.collect()), key=str)
         if projection is None:
             projection = np.concatenate([basis(words, weights), np.zeros((1, RANK))]).astype(np.float32) * weights[:, None]
-        index = Items(taken, projection, weights)
+        index = Items(taken, projection)
         if index.ids:
             result = words.mapInArrow(_finder(index, projection), _FOUND)
             found = result if found is None else found.unionByName(result)

@@ -414,6 +414,37 @@ def test_decontamination_finds_items_of_frequent_words(spark, sf_dir, shape):
     assert want <= set(found) and all(found[k] == len(re.findall(r"[^\W_]+", item)) for k in want)
 
 
+def test_decontamination_matches_brute_force(spark, sf_dir):
+    rng = random.Random(3)
+    docs = [tuple(r) for r in read(spark, sf_dir, "documents").where("text is not null").orderBy("doc_id").select("doc_id", "text").limit(40).collect()]
+    items = [tuple(r) for r in read(spark, sf_dir, "benchmark").orderBy("item_id").select("item_id", "text").limit(30).collect()]
+    plain = lambda s: re.findall(r"[^\W_]+", s.lower())
+    vocabulary = [w for _, t in docs for w in plain(t)]
+    count = collections.Counter(vocabulary)
+    rows = [(d, " ".join(plain(t)[:400])) for d, t in docs]
+    for i, text in items:  # a third of the words swapped: the rarest, or any
+        words = plain(text)
+        for kind, order in enumerate((sorted(range(len(words)), key=lambda k: count[words[k]]), rng.sample(range(len(words)), len(words)))):
+            swapped = list(words)
+            for k in order[: len(words) // 3]:
+                swapped[k] = rng.choice(vocabulary)
+            rows.append((1000 * (kind + 1) + i, " ".join(rng.sample(vocabulary, 30) + swapped + rng.sample(vocabulary, 30))))
+    want = {}
+    for d, text in rows:
+        words = plain(text)
+        for i, item in items:
+            whole, last = plain(item), plain(decontaminate._last_sentence(item))
+            step = 4 if len(whole) < 24 else 8
+            width = (-(-len(whole) // step) + 1) * step
+            for at in range(0, len(words), step):
+                window = words[at : at + width]
+                same = decontaminate.common(decontaminate._masks(whole), len(whole), window)
+                if same >= 0.65 * len(whole) and decontaminate.common(decontaminate._masks(last), len(last), window) >= 0.5 * len(last):
+                    want[d, i] = max(want.get((d, i), (0, 0)), (same, -at))
+    got = decontaminate.find_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["n_common"], -r["first_word"]) for r in got} == want and len(want) > 40
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(50):
