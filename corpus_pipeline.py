@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalmill.llm import decontaminate, packing, simhash, substrings, toxicity
-from fiscalmill.llm.common import table
+from fiscalmill.llm.common import row_key, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +39,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold no benchmark item; a row is known by id and text, as ids may be null or repeated."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key("doc_id", "text").alias("k"))
+    found = decontaminate.find_items(rows.select("k", F.col("row.text").alias("text")), table(spark, sf_dir, "benchmark"), id_column="k")
     leaked = found.select(F.col("doc_id").alias("leaked")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("k"))
-    return rows.join(leaked, F.col("k").eqNullSafe(F.col("leaked")), "left_anti").select("row.*").select(*docs.columns)
+    return rows.join(leaked, F.col("k") == F.col("leaked"), "left_anti").select("row.*").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,6 +70,14 @@ def test_stages_do_what_they_say(spark, sf_dir):
     assert not leaked & left and len(texts) - len(leaked) - len(left) <= 1 and clean.columns == columns
 
 
+def test_decontamination_keeps_clean_rows_of_the_same_id(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first()["text"]
+    odd = [(None, "a clean row without an id"), (None, f"some words {item} more words"), (5, "a clean row"), (5, f"{item} again"), (6, None), (None, None)]
+    left = corpus_pipeline.drop_benchmark(spark, spark.createDataFrame(odd, docs.schema), sf_dir).collect()
+    assert sorted(map(tuple, left), key=str) == sorted([odd[0], odd[2], odd[4], odd[5]], key=str)
+
+
 def test_pipeline_packs_what_is_left(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     total = collections.Counter()
