@@ -200,6 +200,25 @@ def _last_sentence(text: str) -> str:
     return parts[-1] if parts else text
 
 
+def _item_side(items: Items, own: np.ndarray, columns: np.ndarray, terms: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
+    """How many of the item's words stand in each window: the other bound of the common subsequence."""
+    wanted = np.full((len(own), width), TERMS, np.int64)
+    for k, i in enumerate(own.tolist()):
+        wanted[k, : len(items.words[i])] = np.array(items.words[i]) & (TERMS - 1)
+    out = np.empty(len(columns), np.int64)
+    present = np.zeros((min(_TOGETHER, len(columns)), TERMS + 1), bool)
+    for at in range(0, len(columns), _TOGETHER):
+        part = slice(at, at + _TOGETHER)
+        place = begin[part, None] + np.arange(width)
+        window = np.where(place < end[part, None], terms[np.minimum(place, len(terms) - 1)], TERMS)
+        line = np.arange(len(window))[:, None]
+        present[line, window] = True
+        present[:, TERMS] = False
+        out[part] = present[line, wanted[columns[part]]].sum(axis=1)
+        present[line, window] = False
+    return out
+
+
 def _search(items: Items, projection: np.ndarray, words: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(text, item, common words, first word) of confirmed windows, the best of each text and item."""
     best: dict[tuple[int, int], tuple[int, int]] = {}
@@ -218,31 +237,35 @@ def _search(items: Items, projection: np.ndarray, words: np.ndarray, first: np.n
     # (text, item, start, most words in common) of all windows that can succeed
     found: list[np.ndarray] = []
     for step, group, holds in items.groups:
-        held = holds[terms]
+        held = np.take(holds, terms, axis=0)
         while len(held) * step > len(terms):
             held = held[0::2] + held[1::2]
         owner = np.repeat(np.arange(len(sizes)), blocks * (8 // step))
         last = (at[1:] * (8 // step))[owner]  # a text's blocks end here
-        along = np.zeros((len(held) + 1, len(group)), np.uint32)
-        np.cumsum(held, axis=0, dtype=np.uint32, out=along[1:])
         widths = -(-items.sizes[group] // step) + 1
+        # sums may wrap around: differences of them are right as long as a window's count fits
+        kind = np.uint8 if int(widths.max()) * step < 256 else np.uint32
+        along = np.zeros((len(held) + 1, len(group)), kind)
+        np.cumsum(held, axis=0, dtype=kind, out=along[1:])
         for width in np.unique(widths).tolist():
             low, high = np.searchsorted(widths, [width, width + 1])
             stop = np.minimum(np.arange(len(held)) + width, last)
             own = along[:, low:high]
-            counts = np.empty((len(held), high - low), np.uint32)
+            counts = np.empty((len(held), high - low), kind)
             whole = max(0, len(held) - width + 1)
             np.subtract(own[width:], own[:whole], out=counts[:whole])
             short = np.flatnonzero(stop < np.arange(len(held)) + width)  # at the end of a text
             counts[short] = own[stop[short]] - own[short]
             rest = np.arange(whole, len(held))
             counts[rest] = own[stop[rest]] - own[rest]
-            rows, columns = np.nonzero(counts >= items.least[group[low:high]].astype(np.uint32))
-            if len(rows):
-                found.append(np.stack([owner[rows], group[low:high][columns], rows * step, np.minimum(rows + width, last[rows]) * step, counts[rows, columns]], axis=1))
-    if not found:
-        return []
-    windows = np.concatenate(found)
+            rows, columns = np.nonzero(counts >= items.least[group[low:high]].astype(kind))
+            if not len(rows):
+                continue
+            item, begin, end = group[low:high][columns], rows * step, np.minimum(rows + width, last[rows]) * step
+            most = np.minimum(counts[rows, columns], _item_side(items, group[low:high], columns, terms, begin, end, width * step))
+            good = np.flatnonzero(most >= items.least[item])
+            found.append(np.stack([owner[rows], item, begin, end, most], axis=1)[good])
+    windows = np.concatenate(found) if found else np.zeros((0, 5), np.int64)
     near = np.empty(len(windows))
     for k, (_, i, a, b, _) in enumerate(windows.tolist()):
         vector = projection[weighed[a:b]].sum(axis=0)
