@@ -13,8 +13,9 @@ On the unit sphere cosine falls as Euclidean distance grows, so a metric tree se
    pruning: a part is skipped when factor times its least possible distance is not
    below the best so far. With factor one the search is exact; a larger one skips more.
 
-Equal vectors (of any number of ids) are one entry that keeps as many smallest ids as
-an answer can hold. Queries go in blocks of ``QUERY_BLOCK``, so no task holds all of
+Equal vectors, and their multiples by powers of two, (of any number of ids) are one
+entry that keeps as many smallest ids as an answer can hold. Of other entries all that
+rounding cannot part from the last place are scored, however many. Queries go in blocks of ``QUERY_BLOCK``, so no task holds all of
 them. Scores are sums in exact arithmetic, rounded once, on the original vectors.
 
 Vectors that are null, zero, or hold nulls or numbers that are not finite take no
@@ -26,6 +27,7 @@ a repeated query is answered once per distinct vector. An empty table gives none
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +42,8 @@ SAMPLE = 8192
 SHARD = 16384
 LEAF = 256
 QUERY_BLOCK = 8192
+#: Cosines nearer than this may be equal.
+SLACK = 1e-12
 _FOUND = "query_id long, qkey long, vec_id long, score double"
 
 
@@ -134,19 +138,40 @@ class Tree:
         self.cosines = np.full((len(queries), k), -np.inf)
         self.rows = np.full((len(queries), k), -1, np.int64)
         self.best = best.copy()
+        self.others: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n_others, self.limit = 0, 1 << 20
         self._visit(self.root, np.arange(len(queries)))
         return self.rows, self.cosines
 
+    def tied(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the last search the queries and rows of the points beyond the k that rounding cannot part from the last of them."""
+        if not self.others:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        query, row, cosine = (np.concatenate(c) for c in zip(*self.others))
+        near = cosine >= self.cosines.min(axis=1)[query] - SLACK
+        self.others = [(query[near], row[near], cosine[near])]
+        self.n_others = int(near.sum())
+        return query[near], row[near]
+
     def _offer(self, active: np.ndarray, rows: np.ndarray):
         cosines = np.concatenate([self.cosines[active], self.queries[active] @ self.points[rows].T], axis=1)
         candidates = np.concatenate([self.rows[active], np.broadcast_to(rows, (len(active), len(rows)))], axis=1)
         if cosines.shape[1] > self.k:
             top = np.argpartition(-cosines, self.k - 1, axis=1)[:, : self.k]
+            beyond = cosines >= np.take_along_axis(cosines, top, 1).min(axis=1, keepdims=True) - SLACK
+            np.put_along_axis(beyond, top, False, 1)
+            query, place = np.nonzero(beyond & (candidates >= 0))
+            if len(query):
+                self.others.append((active[query], candidates[query, place], cosines[query, place]))
+                self.n_others += len(query)
+                if self.n_others > self.limit:
+                    self.tied()
+                    self.limit = max(self.limit, 2 * self.n_others)
             cosines, candidates = np.take_along_axis(cosines, top, 1), np.take_along_axis(candidates, top, 1)
         self.cosines[active], self.rows[active] = cosines, candidates
         worst = cosines.min(axis=1)
         # a little slack, so that rounding never prunes an equal
-        self.best[active] = np.minimum(self.best[active], np.sqrt(np.maximum(2 - 2 * worst, 0)) + 1e-9)
+        self.best[active] = np.minimum(self.best[active], np.sqrt(np.maximum(2 - 2 * worst, 0) + SLACK) + 1e-9)
 
     def _visit(self, node, active: np.ndarray):
         if not len(active):
@@ -184,14 +209,19 @@ def _answer(k: int, factor: float):
             raw, asked = _matrix(points.column("vec")), _matrix(queries.column("vec"))
             ids = points.column("ids").to_pylist()
             tree = Tree(_unit(raw))
-            # ids of one entry, one of them perhaps the query's own, and slack for scores that only rounding parts
-            width = min(len(raw), k + 2)
-            rows, cosines = tree.search(_unit(asked), queries.column("best").to_numpy(), width, factor)
             q_ids, q_keys = queries.column("query_id").to_pylist(), queries.column("qkey").to_pylist()
+            # besides an answer the entries of the query's own id
+            own = set(q_ids)
+            held = Counter(v for some in ids for v in set(some) & own)
+            width = min(len(raw), k + 1 + max(held.values(), default=0))
+            rows, cosines = tree.search(_unit(asked), queries.column("best").to_numpy(), width, factor)
+            more: dict[int, list[int]] = {}
+            for i, r in zip(*(a.tolist() for a in tree.tied())):
+                more.setdefault(i, []).append(r)
             for i in range(len(asked)):
                 vector = asked[i].tolist()
                 scored = []
-                for r in rows[i][rows[i] >= 0].tolist():
+                for r in rows[i][rows[i] >= 0].tolist() + more.get(i, []):
                     score = _exact(vector, raw[r].tolist())
                     scored += [(-score, v) for v in ids[r] if v != q_ids[i]]
                 found += [(q_ids[i], q_keys[i], v, -s) for s, v in sorted(scored)[:k]]
@@ -210,10 +240,14 @@ def nearest(vectors: DataFrame, is_query, k: int = 5, factor: float = 1.0) -> Da
     clean = clean.where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
     clean = clean.withColumn("vec", F.transform("vec", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))  # one zero
     clean = clean.select("vec_id", "vec", F.size("vec").alias("dim"), F.xxhash64("vec").alias("vkey"))
-    # of equal vectors the smallest ids: one more than an answer, which may hold the query itself
+    # of vectors equal up to a power of two the smallest ids: one more than an answer, which may hold the query itself
     ids = clean.dropDuplicates(["vec_id", "vec"])
-    first = Window.partitionBy("dim", "vkey", "vec").orderBy("vec_id")
-    entries = ids.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
+    largest = F.array_max(F.transform("vec", F.abs))
+    folded = ids.withColumn("scale", F.when(largest.between(1e-100, 1e100), F.pow(F.lit(2.0), F.floor(F.log2(largest)))).otherwise(1.0))
+    folded = folded.withColumn("vec", F.transform("vec", lambda x: x / F.col("scale")))
+    folded = folded.select("vec_id", "vec", "dim", F.xxhash64("vec").alias("vkey"))
+    first, same = Window.partitionBy("dim", "vkey", "vec").orderBy("vec_id"), Window.partitionBy("dim", "vkey", "vec", "vec_id").orderBy("vec_id")
+    entries = folded.withColumn("nth", F.dense_rank().over(first)).where(F.col("nth") <= k + 1).withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k)
     entries = stored(entries.groupBy("dim", "vkey", "vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "entries")
     queries = ids.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), F.col("vkey").alias("qkey"), "vec", "dim")
 
@@ -259,7 +293,7 @@ def _of_length(entries: DataFrame, queries: DataFrame, n: int, k: int, factor: f
         return at_home
     # what the own shard gave bounds the search of the others; too few finds bound nothing
     bound = at_home.groupBy("query_id", "qkey").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-    bound = bound.select(F.col("query_id").alias("q"), F.col("qkey").alias("x"), F.when(F.col("n") >= k, F.sqrt(F.greatest(2 - 2 * F.col("least"), F.lit(0.0))) + 1e-9).otherwise(F.lit(3.0)).alias("bound"))
+    bound = bound.select(F.col("query_id").alias("q"), F.col("qkey").alias("x"), F.when(F.col("n") >= k, F.sqrt(F.greatest(2 - 2 * F.col("least"), F.lit(0.0)) + SLACK) + 1e-9).otherwise(F.lit(3.0)).alias("bound"))
     joined = asked.join(bound, (F.col("query_id") == F.col("q")) & (F.col("qkey") == F.col("x")), "left")
     joined = joined.select("query_id", "qkey", "vec", F.col("shard").alias("home"), "block", F.coalesce("bound", F.lit(3.0)).alias("best"))
 

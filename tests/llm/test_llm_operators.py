@@ -236,6 +236,21 @@ def test_nearest_matches_brute_force(spark, sf_dir, monkeypatch, shard):
     assert got == sorted(nearest_by_hand([tuple(r) for r in vectors.collect()], 50))
 
 
+@pytest.mark.parametrize("shard", [16384, 60])
+def test_nearest_settles_ties_of_distinct_vectors(spark, monkeypatch, shard):
+    monkeypatch.setattr(ann, "SHARD", shard)
+    monkeypatch.setattr(ann, "LEAF", 16)
+    rng = random.Random(4)
+    scaled = [[x * 2.0 ** (k % 41 - 20) for x in (1.0, 2.0, 3.0, -1.0, 0.5, 0.0, 0.0, 1.0)] for k in range(300)]
+    binary = [[float(rng.random() < 0.4) for _ in range(8)] for _ in range(150)]
+    one_hot = [[float(j == k % 8) * (1 + k // 8) for j in range(8)] for k in range(100)]
+    rows = [*scaled, *binary, *one_hot, *([2.0**k, 2.0**k, 0.0, 0.0, 0.0, 0.0, 0.0, 3 * 2.0**k] for k in range(9))]
+    ids = rng.sample(range(5000), len(rows) - 9) + [5000] * 9  # one id with many vectors of one direction
+    vectors = spark.createDataFrame(list(zip(ids, rows)), "vec_id long, vec array<double>")
+    got = sorted(map(tuple, ann.nearest(vectors, lambda v: v % 10 == 0).collect()))
+    assert got == sorted(nearest_by_hand([tuple(r) for r in vectors.collect()], 10))
+
+
 def test_relaxed_pruning_keeps_recall():
     rng = np.random.default_rng(1)
     points = ann._unit(rng.standard_normal((4000, 16)))
