@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import ann, chat, decontaminate, html, licenses, packing, simhash, substrings, toxicity, urls
+from fiscalmill.llm import ann, audit, bpe, chat, decontaminate, html, licenses, negatives, packing, simhash, substrings, toxicity, urls
 from fiscalmill.llm.common import table
 
 
@@ -72,8 +72,29 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_notices(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as byte-level BPE ids, and the bytes that the ids decode to."""
+    if public_tokenizers.PATTERN != bpe.PATTERN:
+        raise ValueError("the vocabulary cuts texts by another pattern")
+    vocabulary = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; where an id is divisible by seven the label moves on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"), label.alias("label"))
+    return negatives.mine(vectors, lambda vec_id: vec_id % 100 == 0)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all their orders, for every source."""
+    return audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 _ALL = (
     op1_chat_windows, op2_decontamination, op3_packing, op4_html, op5_simhash, op6_urls, op7_substrings, op8_nearest, op9_toxicity, op10_licenses,
+    op11_byte_bpe, op12_hard_negatives, op13_filter_audit,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -90,4 +111,48 @@ ORACLES: dict[str, str] = {
         kept as (select r, count(*) as n, string_agg(word, ' ' order by pos) as text from words anti join gone using (r, pos) group by r)
         select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(text, '')) as kept_sha256
         from worded left join kept using (r)""",
+    "op12_hard_negatives": """
+        with relabelled as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as l,
+                   list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+            from embeddings where vec_id is not null and label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+            select a.vec_id as anchor_id, c.vec_id, a.l = c.l as same, cast(list_dot_product(a.v, c.v) as bigint) as score
+            from relabelled a join relabelled c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select p.anchor_id, p.positive_id, cast(row_number() over best as integer) as rank, s.vec_id as negative_id, p.positive_score, s.score as negative_score
+        from positives p join scored s on p.anchor_id = s.anchor_id and not s.same
+          and 100 * s.score between 30 * p.positive_score and 90 * p.positive_score
+        window best as (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id)
+        qualify row_number() over best <= 10""",
+    "op13_filter_audit": f"""
+        with worded as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, {_WORDS} as w from documents),
+        earliest as (select t, min(doc_id) as least from worded group by t),
+        labelled as (select doc_id, max(quality) = 1 as good, max(toxic) = 1 as toxic from labels where doc_id is not null group by doc_id),
+        failing as (
+            select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic, list_filter([
+                case when len(w) < 50 then 'A' end, case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' end,
+                case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) then 'C' end,
+                case when regexp_matches(t, '[#$%&*|]') then 'D' end, case when least < doc_id then 'E' end], lambda x: x is not null) as f
+            from worded join earliest using (t) left join labelled using (doc_id)),
+        cells as (select part, f, count(*) as n, count(*) filter (good) as g, count(*) filter (toxic) as x from failing group by all),
+        letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+        orders as (
+            select [a.l, b.l, c.l, d.l, e.l] as o from letters a, letters b, letters c, letters d, letters e
+            where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+        steps as (select array_to_string(o, '') as filter_order, s as step, o[s] as own, o[1:s - 1] as before from orders, range(1, 6) r(s)),
+        judged as (select *, list_contains(f, own) as fails, len(list_intersect(f, before)) > 0 as gone from cells, steps),
+        figures as (
+            select part, filter_order, step, own, sum(case when not fails and not gone then n else 0 end) as kept,
+                   sum(case when fails and not gone then n else 0 end) as removed, sum(case when fails and gone then n else 0 end) as redundant,
+                   sum(case when f = [own] then n else 0 end) as unique_fails, sum(case when fails and not gone then g else 0 end) as good_lost,
+                   sum(case when fails and not gone then x else 0 end) as toxic_lost
+            from judged group by part, filter_order, step, own)
+        select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+               cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+               cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, own) as bigint) as shapley
+        from figures""",
 }
