@@ -53,6 +53,12 @@ _FOLDED = "key binary, doc_id long, part string, mask int, good boolean, toxic b
 _DELTA = "part string, mask int, good boolean, toxic boolean, n long"
 #: One entry for each text and part of the rows that hold its smallest id.
 _STATE = "keys array<binary>, ids array<long>, masks array<int>, good array<boolean>, toxic array<boolean>, parts array<string>, counts array<long>"
+#: State on disk, so that it need not fit in memory; the shared folder gets its changes. No disk is taken ahead of use.
+_STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _COLUMNS = ["key", "doc_id", "part", "mask", "good", "toxic", "asks", "n"]
 
 
@@ -175,9 +181,7 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = B
         total.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // STATE_ROWS))
-    # state on disk with changes kept in the shared folder: it need not fit in memory
-    disk = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    with _settings(spark, **{"spark.sql.shuffle.partitions": str(parts), "spark.sql.streaming.stateStore.providerClass": disk}):
+    with _settings(spark, **{"spark.sql.shuffle.partitions": str(parts), **_STATE_STORE}):
         query = changes.writeStream.outputMode("update").option("checkpointLocation", log).trigger(availableNow=True).foreachBatch(save).start()
     query.awaitTermination()
     saved = spark.read.schema(f"{_DELTA}, batch int").parquet(out)
