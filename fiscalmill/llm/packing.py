@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fiscalmill.llm.common import slices, text_arrays
+from fiscalmill.llm.hashing import HashTable
 from fiscalmill.llm.words import mix, word_hashes, word_spans
 
 CAPACITY = 4096
 GROUP = 2048
-CACHED_WORDS = 400_000
-SLICE = 8 << 20
+CACHED_WORDS = 250_000
+SLICE = 2 << 20
 _OTHER = re.compile("[^\0-\u012f\u0131-\u024f]")  # beyond Latin; and the dotted capital I, which lower-cases to two letters
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, grp long"
 _PACKED = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long, padded_to long"
@@ -54,6 +55,10 @@ class WordTokenizer:
     merges directly, any other word through the whole tokenizer. Texts with letters
     that may be lower-cased or composed by rules of their own, or with what looks
     like a special token, are encoded whole, as are all texts for other tokenizers.
+
+    One tokenizer is loaded, with or without its first steps in place. Known words
+    lie in a hash table by 64-bit hash, which starts anew when it is full: besides
+    that a call holds arrays of the words and ids of its texts alone.
     """
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
@@ -61,34 +66,41 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import Split
 
-        self.reader, self.merger = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.merger.normalizer, self.merger.pre_tokenizer = None, Split(" ", "removed")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.steps = {True: (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer), False: (None, Split(" ", "removed"))}
         self.letters, self.cached_words = _byte_letters(), cached_words
-        vocabulary = self.reader.get_vocab()
+        vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        del vocabulary
         self._clear()
         probe = "Word words, été!! it's a1"
-        self.by_word = np.array_equal(self._by_word([probe])[0], self._whole(probe))
+        self.by_word = np.array_equal(self._by_word([probe])[0], self._whole([probe])[0])
 
     def _clear(self):
         """A known word is two parts, as one number; the ids of part i are pool[first[i] : first[i + 1]]. Part 0 is empty."""
-        self.words: dict[bytes, int] = {}
+        self.words = HashTable(self.cached_words)
         self.parts: dict[str, int] = {"": 0}
         self.pool, self.first = np.empty(0, np.uint32), np.zeros(2, np.int64)
 
-    def _whole(self, text: str) -> list[int]:
-        return self.reader.encode(text, add_special_tokens=False).ids
+    def _encode(self, texts: list[str], whole: bool) -> list[np.ndarray]:
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.steps[whole]
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return self._encode(texts, True)
 
     def _merged(self, letters: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of lower-case letters, and how many each has: its last one alone ends a word."""
-        joined = [" ".join(letters[i : i + 1000]) for i in range(0, len(letters), 1000)]
-        written = [t if t.isascii() else t.encode().decode("latin-1").translate(self.letters) for t in joined]
-        encoded = self.merger.encode_batch_fast(written, add_special_tokens=False)
-        ids = np.concatenate([np.empty(0, np.uint32), *[np.array(e.ids, np.uint32) for e in encoded]])
+        ids = [np.empty(0, np.uint32)]
+        for i in range(0, len(letters), 1000):
+            joined = " ".join(letters[i : i + 1000])
+            ids += self._encode([joined if joined.isascii() else joined.encode().decode("latin-1").translate(self.letters)], False)
+        ids = np.concatenate(ids)
         return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
 
-    def _learn(self, words: list[bytes]):
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        """The two parts of each new word, as one number."""
         texts = [w.decode() for w in words]
         cores = [t.rstrip(string.punctuation) for t in texts]
         cores = [c if c.isalpha() else t for c, t in zip(cores, texts)]
@@ -97,48 +109,65 @@ class WordTokenizer:
         letters = [p for p in new if p.isascii() and p.isalpha()] + [p for p in new if not p.isascii() and p.isalpha()]
         others = [p for p in new if not p.isalpha()]
         ids, counts = self._merged(letters)
-        whole = [self._whole(p) for p in others]
-        self.pool = np.concatenate([self.pool, ids, *[np.array(w, np.uint32) for w in whole]])
+        whole = self._whole(others)
+        self.pool = np.concatenate([self.pool, ids, *whole])
         counts = np.concatenate([counts, np.fromiter(map(len, whole), np.int64, len(whole))]).astype(np.int64)
         self.parts.update(zip(letters + others, range(len(self.parts), len(self.parts) + len(new))))
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
         number = self.parts.__getitem__
-        self.words.update(zip(words, [number(c) << 32 | number(t) for c, t in zip(cores, tails)]))
+        return np.array([number(c) << 32 | number(t) for c, t in zip(cores, tails)], np.int64)
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and how many of them are each text's."""
+    def encode(self, texts: list[str | None], limit: int = SLICE) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and how many of them are each text's.
+
+        One text that is longer than ``limit`` is cut at plain spaces, where words end in any case.
+        """
         texts = [t or "" for t in texts]
-        plain = [self.by_word and "<|" not in t and (t.isascii() or not _OTHER.search(t) and is_normalized("NFC", t)) for t in texts]
+        if len(texts) == 1 and len(texts[0]) > limit and self._plain(texts[0]):
+            text, cuts = texts[0], [0]
+            while len(text) - cuts[-1] > limit and (at := text.find(" ", cuts[-1] + limit)) >= 0:
+                cuts.append(at)
+            ids = np.concatenate([self._by_word([text[a:b]])[0] for a, b in zip(cuts, [*cuts[1:], len(text)])])
+            return ids, np.array([len(ids)])
+        plain = [self._plain(t) for t in texts]
         if all(plain):
             return self._by_word(texts)
         flat, counts = self._by_word([t for t, p in zip(texts, plain) if p])
         quick = iter(np.split(flat, np.cumsum(counts)[:-1]))
-        ids = [next(quick) if p else np.array(self._whole(t), np.uint32) for t, p in zip(texts, plain)]
+        whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
+        ids = [next(quick if p else whole) for p in plain]
         return np.concatenate(ids), np.array([len(i) for i in ids])
 
+    def _plain(self, text: str) -> bool:
+        return self.by_word and "<|" not in text and (text.isascii() or not _OTHER.search(text) and is_normalized("NFC", text))
+
     def _by_word(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.words) > self.cached_words:
-            self._clear()
         data, offsets = text_arrays(pa.array([t.lower() for t in texts], pa.large_string()))
         starts, ends, first = word_spans(data, offsets)
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        _, at, index = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        raw, index = data.tobytes(), index.astype(np.int32)
-        distinct = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-        del starts, ends, data, raw
-        new = list(set(distinct).difference(self.words))
-        if new:
-            self._learn(new)
-        pairs = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))
-        parts = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1).astype(np.int32)[index].ravel()
+        hashes = word_hashes(data, starts, ends)
+        pairs = self.words.get(hashes)
+        unknown = np.flatnonzero(pairs < 0)
+        if len(unknown):
+            new, at, which = np.unique(hashes[unknown], return_index=True, return_inverse=True)
+            if self.words.used + len(new) > self.cached_words:  # start anew; texts with more words than that get room for them
+                self._clear()
+                self.words = HashTable(max(self.cached_words, len(starts)))
+                unknown, (new, at, which) = np.arange(len(hashes)), np.unique(hashes, return_index=True, return_inverse=True)
+            raw, at = data.tobytes(), unknown[at]
+            learned = self._learn([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            self.words.put(new, learned)
+            pairs[unknown] = learned[which]
+        del starts, ends, hashes, data
+        parts = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1).astype(np.int32).ravel()
         begins = self.first[parts].astype(np.int32)
         lengths = (self.first[parts + 1] - begins).astype(np.int32)
+        del pairs, parts
         stops = np.cumsum(lengths, dtype=np.int64)
         shift = np.repeat((begins - (stops - lengths)).astype(np.int32), lengths)
         shift += np.arange(stops[-1], dtype=np.int32)
-        flat = self.pool[shift]
-        return flat, np.diff(np.concatenate(([0], stops))[2 * first])
+        return self.pool[shift], np.diff(np.concatenate(([0], stops))[2 * first])
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, int]]:
@@ -168,7 +197,7 @@ def _tokenize(path: str, end_id: int, capacity: int, groups: int, cached_words:
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, names = WordTokenizer(path, cached_words), [f.split()[0] for f in _PIECES.split(", ")]
         for batch in slices(batches, "text", slice_bytes):
-            ids, counts = reader.encode(batch.column("text").to_pylist())
+            ids, counts = reader.encode(batch.column("text").to_pylist(), slice_bytes)
             ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
             totals = counts + 1
             n_pieces = -(-totals // capacity)
@@ -207,6 +236,8 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: where its ids (little-endian unsigned 32 bit) stand in the document and in which sequence.
 
+    Rows are numbered as they are read, to spread repeated ones over the groups: give a stored
+    table, which a task that runs again reads in the same order.
     ``cached_words`` and ``slice_bytes`` trade a task's memory against its time; the result does not depend on them.
     """
     # a row's number within the scan spreads repeated rows over the groups like any others
