@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fiscalmill.llm import decontaminate, packing, simhash, substrings, toxicity
-from fiscalmill.llm.common import row_key, table
+from fiscalmill.llm.common import row_key, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +48,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of ids: one row per piece, with its digest instead of the ids."""
-    # workers that ran the stages before still hold some memory: a smaller cache and smaller slices here
-    path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.piece_digests(packing.pack_documents(docs, path, cached_words=250_000, slice_bytes=6 << 20))
+    return packing.piece_digests(packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES = [
@@ -66,7 +64,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage reads what the one before has stored, so a task that runs again reads the same rows."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
