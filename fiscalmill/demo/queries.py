@@ -766,11 +766,9 @@ SUMMARY_CHECKS = [
     runner.fewer_rows_than("orders", "lineitem"),
     runner.fewer_rows_than("lineitem", "orders", severity="warn"),
     runner.equality("orders", "orders", ["o_orderkey", "o_custkey"]),
-    runner.custom(
-        "unique_combination_of_columns", "orders", lambda df, _: checks.unique_combination_of_columns(df, ["o_orderkey", "o_custkey"])
-    ),
-    runner.custom("not_constant", "orders", lambda df, _: checks.not_constant(df, "o_orderstatus"), "o_orderstatus"),
-    runner.custom("at_least_one", "orders", lambda df, _: checks.at_least_one(df, "o_custkey"), "o_custkey"),
+    runner.unique_combination_of_columns("orders", ["o_orderkey", "o_custkey"]),
+    runner.not_constant("orders", "o_orderstatus"),
+    runner.at_least_one("orders", "o_custkey"),
     runner.custom("columns_match_set", "region", lambda df, _: checks.columns_match_set(df, ["R_NAME", "r_regionkey"])),
     runner.custom("sequential_values", "orders", lambda df, _: checks.sequential_values(df, "o_orderkey"), "o_orderkey", folded=True),
 ]

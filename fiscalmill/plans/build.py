@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fiscalmill.operators.ranges import set_ids
 from fiscalmill.operators.small import checked_broadcast
 from fiscalmill.plans import bronze, gold, insights, silver
-from fiscalmill.quality.runner import gate
+from fiscalmill.quality.runner import Watch, gate
 from fiscalmill.quality.suites import BRONZE, GOLD, SILVER
 from fiscalmill.sources.files import CITY_COLUMNS, GDP_COLUMNS, RATING_COLUMNS, LayerTables, range_sorted
 from fiscalmill.sources.json_feeds import assert_register, read_cities, read_gdp
@@ -68,9 +68,9 @@ def bronze_views(tables: LayerTables) -> None:
         tables.spark.sql(f"CREATE OR REPLACE VIEW bronze.{view} AS SELECT {', '.join(names)} FROM raw.{raw}")
 
 
-def silver_layer(tables: LayerTables, brz: Tables) -> Tables:
+def silver_layer(tables: LayerTables, brz: Tables, watch: Watch | None = None) -> Tables:
     def write(name: str, df: DataFrame, *layout) -> Callable[[], DataFrame]:
-        return lambda: tables.write("silver", name, df, *layout)
+        return lambda: tables.write("silver", name, df, *layout, watch=watch)
 
     out = at_once(
         tables.spark,
@@ -91,11 +91,11 @@ def silver_layer(tables: LayerTables, brz: Tables) -> Tables:
     return {**out, **dims}
 
 
-def gold_layer(tables: LayerTables, slv: Tables) -> Tables:
+def gold_layer(tables: LayerTables, slv: Tables, watch: Watch | None = None) -> Tables:
     """Each table is computed from stored ones, so no chain is evaluated twice."""
 
     def write(name: str, df: DataFrame, *layout) -> Callable[[], DataFrame]:
-        return lambda: tables.write("gold", name, df, *layout)
+        return lambda: tables.write("gold", name, df, *layout, watch=watch)
 
     ratings = slv["slv_capag_municipios"]
     out = at_once(
@@ -120,7 +120,7 @@ def gold_layer(tables: LayerTables, slv: Tables) -> Tables:
         },
     )
     risk = gold.fact_risk(wide, out["gld_fato_pib_municipal"], out["gld_dim_instituicoes"])
-    risk = tables.write("gold", "gld_fato_risco_fiscal", risk, "ano_base", ["classificacao_risco", "uf"], ["cod_ibge"])
+    risk = tables.write("gold", "gld_fato_risco_fiscal", risk, "ano_base", ["classificacao_risco", "uf"], ["cod_ibge"], watch=watch)
     out["gld_fato_risco_fiscal"] = risk
     reports = {
         "gld_report_risco_fiscal_municipal": gold.report_municipal(risk),
@@ -134,17 +134,19 @@ def gold_layer(tables: LayerTables, slv: Tables) -> Tables:
 def build_all(tables: LayerTables, raw: Tables, ano: int | None = None, gates: bool = True) -> Tables:
     """Raw tables -> bronze -> silver -> gold -> insights.
 
-    A failed gate raises and leaves the layers before it as they are.
+    A failed gate raises and leaves the layers before it as they are. The counters
+    of a gate come with the writes of its layer.
     """
+    watches = {"silver": Watch(SILVER), "gold": Watch(GOLD)} if gates else {}
     brz = bronze_layer(raw)
     if gates:
         gate("bronze", brz, BRONZE)
-    slv = silver_layer(tables, brz)
+    slv = silver_layer(tables, brz, watches.get("silver"))
     if gates:
-        gate("silver", slv, SILVER)
-    gld = gold_layer(tables, slv)
+        gate("silver", slv, SILVER, watches["silver"])
+    gld = gold_layer(tables, slv, watches.get("gold"))
     if gates:
-        gate("gold", gld, GOLD)
+        gate("gold", gld, GOLD, watches["gold"])
     written = insights.save_insights(tables, gld, ano)
     if written is not None:
         gld[insights.TABLE] = written

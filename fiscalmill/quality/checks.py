@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from fiscalmill.functions.text import strip
 from fiscalmill.operators.ranges import with_neighbour
+from fiscalmill.quality.fingerprint import BUCKETS, alike, differing_buckets, rows_of
 
 N_ROWS = "n_rows"
 
@@ -200,10 +201,20 @@ def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: list[str] | Non
     ).filter("row_count_delta <> 0")
 
 
-def equality(df: DataFrame, compare: DataFrame, columns: list[str] | None = None, multiset: bool = False) -> DataFrame:
-    """Rows on one side only, tagged by side; duplicates count with ``multiset``."""
+def equality(
+    df: DataFrame, compare: DataFrame, columns: list[str] | None = None, multiset: bool = False, buckets: int = BUCKETS
+) -> DataFrame:
+    """Rows on one side only, tagged by side; duplicates count with ``multiset``.
+
+    Both sides are fingerprinted first, which moves a few bytes per bucket; only the
+    rows of buckets that differ are shuffled and compared. Equal tables end there.
+    """
     columns = columns or df.columns
-    counts = _two_sides(df, compare, columns, columns)
+    left, right = alike(df, compare, columns)
+    differing = differing_buckets(left, right, buckets)
+    if len(differing) < buckets:
+        left, right = rows_of(left, differing, buckets), rows_of(right, differing, buckets)
+    counts = _two_sides(left, right, columns, columns)
     if multiset:
         rows = counts.filter("_a <> _b")
         extra = F.abs(F.col("_a") - F.col("_b")).alias(N_ROWS)

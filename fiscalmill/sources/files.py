@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from fiscalmill.operators.shape import nullcheck_table
 from fiscalmill.operators.small import checked_broadcast
+from fiscalmill.quality.runner import Watch
 
 RATING_COLUMNS = [
     "instituicao", "cod_ibge", "uf", "populacao",
@@ -62,9 +63,12 @@ class LayerTables:
         cluster_by: list[str] | None = None,
         key: list[str] | None = None,
         mode: str = "overwrite",
+        watch: Watch | None = None,
     ) -> DataFrame:
         """Replace (or append to) a table and return it as stored.
 
+        ``watch`` counts failing rows of its checks on the way.
+
         With ``partition_by`` the rows are rebalanced on that column: a year
         with most of the rows is split over many tasks of a sensible size, and
         small years do not leave a file per task.  Rows are sorted inside every
@@ -74,6 +78,10 @@ class LayerTables:
             raise ValueError(f"unknown layer {layer!r}")
         if partition_by:
             df = df.hint("rebalance", partition_by)
+        schema = df.schema
+        if watch:
+            df = watch.on(name, df)
+        if partition_by:
             df = df.sortWithinPartitions(partition_by, *(cluster_by or []), *(key or []))
         writer = df.write.mode(mode).option("partitionOverwriteMode", "static").format("parquet")
         if partition_by:
@@ -83,7 +91,7 @@ class LayerTables:
         else:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
             writer.saveAsTable(f"{layer}.{name}")
-        return self.read(layer, name, df.schema)
+        return self.read(layer, name, schema)
 
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
         """A stored table; a schema fixes the type of the partition column."""
