@@ -54,6 +54,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(total, total[start] + limit, "right")) - 1)
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:

@@ -36,6 +36,8 @@ SAMPLE = 20_000
 CONTEXT = 5
 MOST_TERMS = 2000
 THRESHOLD = 0.7
+#: Bytes of text whose words and pairs of words a task counts at once.
+COUNTED_BYTES = 1 << 20
 #: Known insults, one line per language; a parameter of ``Lexicon``.
 INSULTS = """
 idiot idiots moron morons stupid dumb dumbass loser losers scum trash clown pathetic worthless disgusting imbecile bastard asshole bitch whore retard pig vermin
@@ -222,7 +224,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     """Known insults plus words that mark toxic texts; a learned word must follow many different words there."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", COUNTED_BYTES):
             marks: tuple[dict, dict] = ({}, {})
             pairs = set()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
