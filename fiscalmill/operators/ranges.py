@@ -61,15 +61,18 @@ def set_ids(df: DataFrame, order_by: str, id_name: str) -> DataFrame:
     return dense_ids(df, [order_by], id_name)
 
 
-def with_neighbour(df: DataFrame, group_by: list[str], order_by: list[str], out: str, following: bool = False) -> DataFrame:
-    """Add the first ordering column of the previous (or following) row.
+def with_neighbour(
+    df: DataFrame, group_by: list[str], order_by: list[str], out: str, following: bool = False, carry: list[str] | None = None
+) -> DataFrame:
+    """Add the first ordering column (or a struct of ``carry``) of the previous or following row.
 
-    Same as ``lag`` / ``lead`` of ``order_by[0]`` over (partition by group_by
-    order by order_by), whatever share of the rows a group holds.
+    Same as ``lag`` / ``lead`` over (partition by group_by order by order_by),
+    whatever share of the rows a group holds.
     """
+    value = F.struct(*_names(carry)) if carry else F.col(f"`{order_by[0]}`")
     step, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
     group = F.struct(*_names(group_by)) if group_by else F.struct(F.lit(0).alias("all"))
-    rows = ordered_parts(df, [*group_by, *order_by]).withColumn("_own", F.struct(group.alias("g"), F.col(f"`{order_by[0]}`").alias("v")))
+    rows = ordered_parts(df, [*group_by, *order_by]).withColumn("_own", F.struct(group.alias("g"), value.alias("v")))
     # One row per partition, and none of them is empty: its neighbour's edge is the next row over the cut.
     edges = rows.groupBy("_part").agg(edge("_own", "_at").alias("_edge"))
     carried = F.broadcast(edges.select("_part", step("_edge").over(Window.orderBy("_part")).alias("_carried")))

@@ -13,6 +13,7 @@ from fiscalmill.operators.small import checked_broadcast
 from fiscalmill.plans import bronze, gold, insights, silver
 from fiscalmill.quality.runner import Watch, gate
 from fiscalmill.quality.suites import BRONZE, GOLD, SILVER
+from fiscalmill.session import settings
 from fiscalmill.sources.files import CITY_COLUMNS, GDP_COLUMNS, RATING_COLUMNS, LayerTables, range_sorted
 from fiscalmill.sources.json_feeds import assert_register, read_cities, read_gdp
 from fiscalmill.sources.sheets import load_sheets
@@ -76,7 +77,7 @@ def silver_layer(tables: LayerTables, brz: Tables, watch: Watch | None = None) -
         tables.spark,
         {
             "slv_capag_municipios": write("slv_capag_municipios", silver.rating(brz["brz_capag_brasil"]), "ano_base", [], ["cod_ibge"]),
-            "slv_cidades": write("slv_cidades", silver.cities(brz["brz_cidades_brasil"])),
+            "slv_cidades": write("slv_cidades", silver.cities(brz["brz_cidades_brasil"]), None, [], ["cod_ibge"]),
             "slv_pib_municipal": write("slv_pib_municipal", silver.gdp(brz["brz_pib_municipal"]), "ano", [], ["cod_ibge"]),
         },
     )
@@ -91,6 +92,11 @@ def silver_layer(tables: LayerTables, brz: Tables, watch: Watch | None = None) -
     return {**out, **dims}
 
 
+def _write_risk(write: Callable, wide: DataFrame, gold_tables: Tables) -> DataFrame:
+    risk = gold.fact_risk(wide, gold_tables["gld_fato_pib_municipal"], gold_tables["gld_dim_instituicoes"])
+    return write("gld_fato_risco_fiscal", risk, "ano_base", ["classificacao_risco", "uf"], ["cod_ibge"])()
+
+
 def gold_layer(tables: LayerTables, slv: Tables, watch: Watch | None = None) -> Tables:
     """Each table is computed from stored ones, so no chain is evaluated twice."""
 
@@ -103,7 +109,7 @@ def gold_layer(tables: LayerTables, slv: Tables, watch: Watch | None = None) ->
         {
             "gld_dim_uf": write("gld_dim_uf", slv["slv_dim_uf"]),
             "gld_dim_classificacao_capag": write("gld_dim_classificacao_capag", slv["slv_dim_classificacao_capag"]),
-            "gld_dim_instituicoes": write("gld_dim_instituicoes", gold.dim_municipality(slv["slv_cidades"], ratings)),
+            "gld_dim_instituicoes": write("gld_dim_instituicoes", gold.dim_municipality(slv["slv_cidades"], ratings), None, [], ["cod_ibge"]),
         },
     )
     states = checked_broadcast(out["gld_dim_uf"])
@@ -119,8 +125,9 @@ def gold_layer(tables: LayerTables, slv: Tables, watch: Watch | None = None) ->
             ),
         },
     )
-    risk = gold.fact_risk(wide, out["gld_fato_pib_municipal"], out["gld_dim_instituicoes"])
-    risk = tables.write("gold", "gld_fato_risco_fiscal", risk, "ano_base", ["classificacao_risco", "uf"], ["cod_ibge"], watch=watch)
+    # tables that lie in buckets by municipality also meet on municipality and year as they lie
+    with settings(tables.spark, **({"spark.sql.requireAllClusterKeysForCoPartition": "false"} if tables.buckets else {})):
+        risk = _write_risk(write, wide, out)
     out["gld_fato_risco_fiscal"] = risk
     reports = {
         "gld_report_risco_fiscal_municipal": gold.report_municipal(risk),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,19 @@ def build_session(app_name: str = "fiscalmill", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, **conf: str):
+    """Session settings for what runs inside the block; before and after it the session has its own."""
+    before = {name: spark.conf.get(name, None) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 _local_base: list[str] = []
 
 

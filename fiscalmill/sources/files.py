@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +15,7 @@ from pyspark.sql import types as T
 from fiscalmill.operators.shape import nullcheck_table
 from fiscalmill.operators.small import checked_broadcast
 from fiscalmill.quality.runner import Watch
+from fiscalmill.session import settings
 
 RATING_COLUMNS = [
     "instituicao", "cod_ibge", "uf", "populacao",
@@ -22,18 +28,40 @@ GDP_COLUMNS = ["ano", "cod_ibge", "nome_municipio", "uf", "pib"]
 LAYERS = ("raw", "bronze", "silver", "gold")
 
 
+def _headers(spark: SparkSession, path: str | list[str], options: dict) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header; a look at each file's first line."""
+    files = [unquote(f) for f in spark.read.text(path).inputFiles()]
+    with ThreadPoolExecutor(16) as pool:
+        found = pool.map(inheritable_thread_target(spark)(lambda f: tuple(spark.read.csv(f, **options).columns)), files)
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, header in sorted(zip(files, found)):
+        if header:  # a file without a line has no rows either
+            out.setdefault(header, []).append(file)
+    return out
+
+
 def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = False) -> DataFrame:
     """Header CSV, its columns taken by name and kept as text, so keys keep their raw spelling.
 
-    Empty cells are NULL, quoted or not.  Cells that hold line breaks need
-    ``multi_line``; such files cannot be split between tasks.
+    Every file's own header counts: files that order their columns in other ways, or
+    hold more of them, are read together with others of the same header.  A missing
+    column raises, and so does a path without any header.  Empty cells are NULL, quoted
+    or not.  Cells that hold line breaks need ``multi_line``; such files cannot be split
+    between tasks.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
-    names = {c.strip(): c for c in raw.columns}
-    missing = [c for c in columns if c not in names]
-    if missing:
-        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
-    return nullcheck_table(raw.select(*[F.col(f"`{names[c]}`").alias(c) for c in columns]))
+    options = {"header": True, "inferSchema": False, "multiLine": multi_line, "escape": '"'}
+    by_header = _headers(spark, path, options)
+    if not by_header:
+        raise ValueError(f"no header in {path}")
+    parts = []
+    for header, files in by_header.items():
+        names = {c.strip(): c for c in header}
+        missing = [c for c in columns if c not in names]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in the header of {', '.join(files)}")
+        raw = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])).csv(files, **{**options, "enforceSchema": True})
+        parts.append(raw.select(*[F.col(f"`{names[c]}`").alias(c) for c in columns]))
+    return nullcheck_table(reduce(DataFrame.unionAll, parts))
 
 
 def range_sorted(df: DataFrame, *columns: str) -> DataFrame:
@@ -46,10 +74,17 @@ def range_sorted(df: DataFrame, *columns: str) -> DataFrame:
 
 
 class LayerTables:
-    """Tables of the layers, below a folder or in one database per layer."""
+    """Tables of the layers, below a folder or in one database per layer.
+
+    With ``buckets``, tables of a database that are written with a key are dealt into
+    that many buckets by it: joins and windows on the key then read them without a
+    shuffle, and a filter on it reads one bucket.  Only a catalog knows of buckets.
+    """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark, self.root = spark, root.rstrip("/") if root else None
+    def __init__(self, spark: SparkSession, root: str | None = None, buckets: int = 0):
+        if root and buckets:
+            raise ValueError("buckets need the catalog: leave out the folder")
+        self.spark, self.root, self.buckets = spark, root.rstrip("/") if root else None, buckets
 
     def _path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -76,23 +111,44 @@ class LayerTables:
         """
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
-        if partition_by:
+        bucketed = bool(self.buckets and key and mode == "overwrite")
+        if bucketed:
+            df = df.repartition(self.buckets, *key)  # one file per bucket (and year)
+        elif partition_by:
             df = df.hint("rebalance", partition_by)
         schema = df.schema
         if watch:
             df = watch.on(name, df)
-        if partition_by:
-            df = df.sortWithinPartitions(partition_by, *(cluster_by or []), *(key or []))
-        writer = df.write.mode(mode).option("partitionOverwriteMode", "static").format("parquet")
+        if partition_by or bucketed:
+            order = [*(key or []), *(cluster_by or [])] if bucketed else [*(cluster_by or []), *(key or [])]
+            df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *order)
+        writer = df.write.mode(mode).format("parquet")
         if partition_by:
             writer = writer.partitionBy(partition_by)
+        if bucketed:
+            writer = writer.bucketBy(self.buckets, *key).sortBy(*key)
         if self.root:
-            writer.save(self._path(layer, name))
+            writer.option("partitionOverwriteMode", "static").save(self._path(layer, name))
         else:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
             writer.saveAsTable(f"{layer}.{name}")
         return self.read(layer, name, schema)
 
+    def replace_years(self, layer: str, name: str, df: DataFrame, year: str) -> None:
+        """Replace just the years that ``df`` holds, each as a whole.
+
+        Spark writes to a folder of its own first and moves the years at the end, so a
+        job that fails leaves the table as it was.
+        """
+        df = df.hint("rebalance", year).sortWithinPartitions(year)
+        if not self.root and not self.exists(layer, name):
+            self.write(layer, name, df.limit(0), partition_by=year)
+        with settings(self.spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            if self.root:
+                df.write.mode("overwrite").partitionBy(year).parquet(self._path(layer, name))
+            else:
+                df.select(*self.spark.table(f"{layer}.{name}").columns).write.mode("overwrite").insertInto(f"{layer}.{name}")
+
     def read(self, layer: str, name: str, schema: T.StructType | None = None) -> DataFrame:
         """A stored table; a schema fixes the type of the partition column."""
         if not self.root:
@@ -131,15 +187,46 @@ def new_years_only(incoming: DataFrame, year: str, stored: DataFrame, stored_yea
     return incoming.withColumn("_year", number).join(have, "_year", "left_anti").select(*incoming.columns)
 
 
+def _commits(tables: LayerTables, layer: str, name: str, year: str, incoming: DataFrame) -> DataFrame:
+    """The years that are stored for good: (year, rows).
+
+    A table from before these marks has all its years marked; that happens before
+    anything is appended, so a half-written year never gets a mark by it.
+    """
+    marks = f"{name}_years"
+    if not tables.exists(layer, marks):
+        empty = incoming.limit(0).select(year)
+        stored = tables.read(layer, name).select(F.col(year).cast(incoming.schema[year].dataType).alias(year)) if tables.exists(layer, name) else empty
+        tables.write(layer, marks, stored.groupBy(year).agg(F.count("*").alias("rows")))
+    return tables.read(layer, marks)
+
+
+def committed(tables: LayerTables, layer: str, name: str, year: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of a table that years are appended to, but for years of a job that has not come to its end."""
+    stored = tables.read(layer, name, schema)
+    marks = tables.read(layer, f"{name}_years").select(F.col(year).cast(stored.schema[year].dataType).alias("_year")).distinct()
+    return stored.join(checked_broadcast(marks), stored[year].eqNullSafe(F.col("_year")), "left_semi")
+
+
 def append_new_years(tables: LayerTables, layer: str, name: str, incoming: DataFrame, year: str) -> DataFrame:
-    """Append the years not stored yet; history is never rewritten.
+    """Append the years not stored yet; years stored for good are never rewritten.
+
+    A year counts as stored when it has its mark in ``<name>_years``, which is written
+    after its rows.  A job that is lost between, or while its files move, leaves years without a
+    mark; the next run replaces them as a whole, so each row is there once.
 
     Rows whose year cannot be read go to the table ``<name>_rejected``, which is
     replaced each time; they are never appended, so a second run adds nothing.
     """
-    readable = F.trim(F.col(year).cast("string")).try_cast("bigint").isNotNull()
-    tables.write(layer, f"{name}_rejected", incoming.filter(~readable))
-    incoming = incoming.filter(readable)
-    if tables.exists(layer, name):
-        incoming = new_years_only(incoming, year, tables.read(layer, name), year)
-    return tables.write(layer, name, incoming, partition_by=year, mode="append")
+    number = F.trim(F.col(year).cast("string")).try_cast("bigint")
+    tables.write(layer, f"{name}_rejected", incoming.filter(number.isNull()))
+    incoming = incoming.filter(number.isNotNull())
+    marks = _commits(tables, layer, name, year, incoming)
+    new = new_years_only(incoming, year, marks, year)
+    tables.replace_years(layer, name, new, year)
+    stored = tables.read(layer, name, new.schema)
+    fresh = new_years_only(stored, year, marks, year).groupBy(year).agg(F.count("*").alias("rows"))
+    years = new.select(F.col(year).alias("_new")).distinct()  # not those that an earlier job left behind
+    fresh = fresh.join(years, F.col(year) == F.col("_new"), "left_semi")
+    tables.write(layer, f"{name}_years", fresh, mode="append")
+    return committed(tables, layer, name, year, new.schema)
