@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from fiscalmill.sources.files import (
     LayerTables,
     append_new_years,
     new_years_only,
+    order_manifest,
+    overlapping_files,
     range_sorted,
     read_csv,
     years_stored,
@@ -61,7 +64,7 @@ class Models:
         self.cities = silver.cities(self.bronze["brz_cidades_brasil"])
         self.gdp = silver.gdp(self.bronze["brz_pib_municipal"])
 
-    @property
+    @cached_property  # numbering the states stores them; once is enough
     def states(self) -> DataFrame:
         return silver.dim_state(self.ratings, self.cities)
 
@@ -582,6 +585,15 @@ def columns_to_arrays(spark, sf):
     )
 
 
+@query
+def columns_to_array_chunks(spark, sf):
+    """Order lines as arrays of a thousand, in order."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("q"))
+    chunks = shape.results_in_chunks(lines, ["l_orderkey", "l_linenumber", "q"], 1000)
+    joined = lambda c: F.array_join(F.col(c).cast("array<string>"), "|")
+    return chunks.select("chunk", joined("l_orderkey").alias("keys"), joined("l_linenumber").alias("numbers"), joined("q").alias("quantities"))
+
+
 @query
 def dense_ids_large(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
@@ -874,6 +886,18 @@ def global_sort(spark, sf):
     return range_sorted(gdp, "ano", "cod_ibge")
 
 
+@query
+def global_sort_ranges(spark, sf):
+    """The order of the stored GDP rows, from their files: rows in the order of files and within them."""
+    gdp = Models(spark, sf).gdp.select("ano", "cod_ibge", "pib")
+    stored = LayerTables(spark, scratch_dir(spark, "sorted")).write("raw", "pib", range_sorted(gdp, "ano", "cod_ibge"))
+    manifest = order_manifest(stored, "ano", "cod_ibge")
+    ends = manifest.agg(
+        F.sum("rows").alias("rows"), F.min("least.ano").alias("first_year"), F.max("greatest.ano").alias("last_year"), F.sum("unsorted").alias("unsorted")
+    )
+    return ends.crossJoin(overlapping_files(manifest).agg(F.count("*").alias("overlapping")))
+
+
 # Order sheets per status: each has its own header names and lead-in rows.
 SHEET_HEADERS = {
     "F": (["Instituição", " Cod.IBGE ", "UF", "População", "Indicador_1", "CAPAG_2021", "Ano_Base"], 0),

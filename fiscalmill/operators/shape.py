@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A result turned into arrays is a report, not a table; larger ones are refused.
+from fiscalmill.operators.ranges import dense_ids
+
+# A result turned into one row of arrays is a report, not a table; larger ones are refused.
 MAX_ARRAY_ROWS = 10_000
 
 
@@ -77,6 +79,19 @@ def results_as_arrays(df: DataFrame, order_by: list[Column], max_rows: int = MAX
     return checked.select(*[F.col("_rows._row").getField(n).alias(n) for n in names])
 
 
+def results_in_chunks(df: DataFrame, order_by: list[str], chunk_rows: int = MAX_ARRAY_ROWS) -> DataFrame:
+    """(chunk, then an array per column): any number of rows as arrays of ``chunk_rows`` at most.
+
+    Chunks are numbered from 1 in the order of the rows, and the arrays of a chunk
+    are in it too.  Rows are numbered over range partitions, so no task holds more
+    than its range and a chunk.  Rows that are equal in ``order_by`` come in any order.
+    """
+    numbered = dense_ids(df, order_by, "_id")
+    place = F.floor((F.col("_id") - 1) / chunk_rows).cast("bigint") + 1
+    held = numbered.groupBy(place.alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("_id", F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")))).alias("_rows"))
+    return held.select("chunk", *[F.col("_rows._row").getField(c).alias(c) for c in df.columns])
+
+
 def results_as_dict(df: DataFrame, order_by: list[Column], max_rows: int = MAX_ARRAY_ROWS) -> dict[str, list]:
     """Column name -> ordered values, on the driver."""
     return results_as_arrays(df, order_by, max_rows).first().asDict()

@@ -135,7 +135,8 @@ def gold_layer(tables: LayerTables, slv: Tables, watch: Watch | None = None) ->
         "gld_report_capag_vs_pib": gold.report_rating_vs_gdp(risk),
         "gld_report_agregacao_estadual": gold.report_state(risk),
     }
-    return out | at_once(tables.spark, {name: write(name, df) for name, df in reports.items()})
+    # by year, so that what asks for one year reads that year
+    return out | at_once(tables.spark, {name: write(name, df, "ano_base", [], ["cod_ibge"] if "cod_ibge" in df.columns else []) for name, df in reports.items()})
 
 
 def build_all(tables: LayerTables, raw: Tables, ano: int | None = None, gates: bool = True) -> Tables:

@@ -256,15 +256,21 @@ def all_insights(
 def save_insights(tables: LayerTables, gold: dict[str, DataFrame], ano: int | None = None) -> DataFrame | None:
     """Replace the insights table; a failing insight is logged and skipped.
 
-    The result is at most six rows.  Nothing is written when all are empty.
+    The result is at most six rows.  Nothing is written when all are empty.  Without
+    ``ano`` each insight takes the newest year of its table from the names of its
+    partitions, so it reads that year alone.
     """
+
+    def year(table: str) -> int | None:
+        return ano if ano is not None else tables.newest("gold", table, "ano_base")
+
     builders = {
-        "summary": lambda: summary(gold["gld_fato_risco_fiscal"], ano),
-        "worst": lambda: worst_municipalities(gold["gld_fato_risco_fiscal"], ano),
-        "best": lambda: best_municipalities(gold["gld_fato_risco_fiscal"], ano),
-        "states": lambda: critical_states(gold["gld_report_agregacao_estadual"], ano),
+        "summary": lambda: summary(gold["gld_fato_risco_fiscal"], year("gld_fato_risco_fiscal")),
+        "worst": lambda: worst_municipalities(gold["gld_fato_risco_fiscal"], year("gld_fato_risco_fiscal")),
+        "best": lambda: best_municipalities(gold["gld_fato_risco_fiscal"], year("gld_fato_risco_fiscal")),
+        "states": lambda: critical_states(gold["gld_report_agregacao_estadual"], year("gld_report_agregacao_estadual")),
         "trends": lambda: trends(gold["gld_report_tendencia_anual"]),
-        "size": lambda: size_vs_risk(gold["gld_report_capag_vs_pib"], ano),
+        "size": lambda: size_vs_risk(gold["gld_report_capag_vs_pib"], year("gld_report_capag_vs_pib")),
     }
 
     def rows_of(name: str, build) -> list:

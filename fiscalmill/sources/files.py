@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from fiscalmill.operators.shape import nullcheck_table
 from fiscalmill.operators.small import checked_broadcast
@@ -73,6 +74,27 @@ def range_sorted(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
 
 
+def order_manifest(stored: DataFrame, *columns: str) -> DataFrame:
+    """One row per file of a table of Parquet files: (file, rows, least, greatest, unsorted).
+
+    ``least`` and ``greatest`` are the keys at its ends, NULLs first, and ``unsorted`` the
+    rows that are smaller than the one before them in the file.
+    """
+    key = F.struct(*[F.col(f"`{c}`") for c in columns])
+    rows = stored.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), key.alias("key"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    falls = rows.withColumn("falls", F.coalesce(F.col("key") < before, F.lit(False)))
+    ends = falls.groupBy("file").agg(F.count("*").alias("rows"), F.min("key").alias("least"), F.max("key").alias("greatest"), F.count_if("falls").alias("unsorted"))
+    return ends
+
+
+def overlapping_files(manifest: DataFrame) -> DataFrame:
+    """Neighbouring files whose ranges overlap: none when the table is in order. One row per file is looked at."""
+    following = Window.orderBy("least", "greatest", "file")
+    near = manifest.withColumn("next_file", F.lead("file").over(following)).withColumn("next_least", F.lead("least").over(following))
+    return near.where("greatest > next_least").select("file", "next_file", "greatest", "next_least")
+
+
 class LayerTables:
     """Tables of the layers, below a folder or in one database per layer.
 
@@ -158,6 +180,19 @@ class LayerTables:
         df = reader.parquet(self._path(layer, name))
         return df.select(*schema.names) if schema else df
 
+    def partition_values(self, layer: str, name: str, column: str) -> list[str]:
+        """The values of a partition column, from the names of the partitions: no rows are read."""
+        if self.root:
+            listed = self.read(layer, name, T.StructType([T.StructField(column, T.StringType())])).inputFiles()
+            parts = [unquote(part) for file in listed for part in unquote(file).split("/")]
+        else:
+            parts = [part for r in self.spark.sql(f"SHOW PARTITIONS {layer}.{name}").collect() for part in r[0].split("/")]
+        return sorted({p.removeprefix(f"{column}=") for p in parts if p.startswith(f"{column}=") and not p.endswith("__HIVE_DEFAULT_PARTITION__")})
+
+    def newest(self, layer: str, name: str, column: str) -> int | None:
+        """The largest value of a whole-number partition column, such as the newest year."""
+        return max(map(int, self.partition_values(layer, name, column)), default=None)
+
     def exists(self, layer: str, name: str) -> bool:
         if not self.root:
             return self.spark.catalog.tableExists(f"{layer}.{name}")
