@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -72,7 +72,7 @@ def spans(tokens: list[int], budget: int, history: int) -> Iterator[tuple[int, i
     new = 0
     while new < len(tokens):
         # the earliest turn from which no more than the allowance stands before the first new one
-        back = next((i for i in range(max(0, new - 64), new) if total[new] - total[i] <= history), new)
+        back = min(bisect_left(total, total[new] - history), new)
         end = bisect_right(total, total[back] + budget) - 1
         if end <= new:  # the first new turn does not fit beside the history
             back, end = new, max(new + 1, bisect_right(total, total[new] + budget) - 1)
@@ -144,7 +144,7 @@ def format_windows(conversations: DataFrame, tokenizer: str, budget: int = 1024,
     ).withColumn("segment", F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-(1 << 53))))
     # segments after that of the first system turn get a copy of it
     system = turns.where("role = 'system'").groupBy("conv_id").agg(F.min(F.struct("segment", "turn", "text")).alias("s"))
-    segments = turns.where(F.col("segment") > 0).select(F.col("conv_id").alias("c"), F.col("segment").alias("at")).distinct()
+    segments = turns.select(F.col("conv_id").alias("c"), F.col("segment").alias("at")).distinct()
     carried = segments.join(system, F.col("c").eqNullSafe(F.col("conv_id")) & (F.col("at") > F.col("s.segment"))).select(
         "conv_id", F.lit(None).cast("long").alias("turn"), F.lit("system").alias("role"), "s.text", F.col("at").alias("segment"), F.lit(True).alias("carried")
     )

@@ -11,9 +11,12 @@ of at least ``window`` words count.
    the one with the smallest id, before it sends them to the shards, so a passage
    in a third of all documents moves one entry per block. A shard returns the
    place of each window's first document to the blocks that hold later ones.
-3. Each block parses its documents into factors. Windows at both ends of a factor
-   are found like all others, so a factor ends exactly where no earlier document
-   goes on. Window hashes have 64 bits and a separate 16-bit check.
+3. Each block parses its documents into factors, one for each run of windows whose first
+   document and place go on: a factor names the first document of its windows and ends
+   where that changes, also where another earlier document would go on. Windows at
+   both ends of a factor are found like all others, so the words that the factors cover
+   are exactly those that earlier documents hold. Window hashes have 64 bits and a
+   separate 16-bit check.
 
 Null text counts as empty. A null id counts as larger than all ids. Rows with the
 same id never shorten each other; repeated rows get the same result each. Texts of
