@@ -257,12 +257,14 @@ def save_insights(tables: LayerTables, gold: dict[str, DataFrame], ano: int | No
     """Replace the insights table; a failing insight is logged and skipped.
 
     The result is at most six rows.  Nothing is written when all are empty.  Without
-    ``ano`` each insight takes the newest year of its table from the names of its
-    partitions, so it reads that year alone.
+    ``ano`` each insight takes the newest year of its stored table from the names of its
+    partitions, so it reads that year alone; a table that is not stored is asked itself.
     """
 
     def year(table: str) -> int | None:
-        return ano if ano is not None else tables.newest("gold", table, "ano_base")
+        if ano is not None or not tables.exists("gold", table):
+            return ano
+        return tables.newest("gold", table, "ano_base")
 
     builders = {
         "summary": lambda: summary(gold["gld_fato_risco_fiscal"], year("gld_fato_risco_fiscal")),
