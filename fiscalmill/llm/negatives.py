@@ -79,9 +79,14 @@ class CoverTree:
         """Distances, from the inner products of points of one length."""
         return np.sqrt(np.maximum(2 * (self.top - self.points[members] @ self.points[centre]), 0))
 
-    def _leaves(self, members: np.ndarray) -> list[Node]:
-        parts = [members[i : i + LEAF] for i in range(0, len(members), LEAF)]
-        return [Node(int(p[0]), float(self._away(p, p[0]).max()) + self.slack, [], p) for p in parts]
+    def _leaves(self, members: np.ndarray, centre: int) -> list[Node]:
+        """Leaves of at most ``LEAF`` rows, around their first row or the parent's centre, whichever is nearer to all."""
+        out = []
+        for i in range(0, len(members), LEAF):
+            rows = members[i : i + LEAF]
+            radius, at = min((float(self._away(rows, c).max()), c) for c in (int(rows[0]), centre))
+            out.append(Node(at, radius + self.slack, [], rows))
+        return out
 
     def _grow(self, members: np.ndarray, centre: int, radius: float) -> Node:
         children: list[Node] = []
@@ -98,9 +103,9 @@ class CoverTree:
                 rest = rest[~near]
                 at = int(rest[0]) if len(rest) else -1
             if small:  # small children next to each other share leaves
-                children += self._leaves(np.concatenate(small))
+                children += self._leaves(np.concatenate(small), centre)
         elif len(members) > LEAF:
-            children = self._leaves(members)
+            children = self._leaves(members, centre)
         return Node(centre, radius + self.slack, children, members if not children else members[:0])
 
     def bounds(self, anchors: np.ndarray, squares: np.ndarray, nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
