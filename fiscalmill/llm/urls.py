@@ -1,18 +1,22 @@
 """URL filter by a tree of path templates per host, with DataFrame functions only.
 
-Every path is a branch of its host's tree. A segment stays literal where it is
-common among the branches beside it, and becomes a wildcard where it varies:
+Every path is a branch of its host's tree, which grows level by level: the children of
+a place are the segments that follow its template, so what lies under a wildcard is
+pooled before it is looked at.
 
-* a segment with a digit run, a long hexadecimal run or an extension after a number
-  is a wildcard of that kind (``<n>``, ``<h>``) at once, whatever its values;
-* any other segment is a wildcard (``*``) when it holds less than ``COMMON`` of the
-  pages that reach its place under the same parent.
+* A segment with a digit run, a long hexadecimal run or an extension after a number
+  is a wildcard of that kind (``<n>``, ``<h>``) at once, whatever its values.
+* Any other segment of a place stays literal if it is the only one there, or if its
+  labelled share differs from that of the place by more than chance would have it (a
+  chi-square bound ``APART``, from ``LABELS`` labels on). All others are alike as far as
+  labels can tell, and become one branch, ``*``. No share of pages decides.
 
 Templates that differ in their last literal alone are branches of one place; where
-their labelled shares differ no more than chance would have it (a chi-square bound),
-they are merged and judged together. A template is rejected when its share of bad
-labels, smoothed towards its host's share and that towards the whole table's, is at
-least ``REJECT``. Explicit rules come first: the longest that fits decides.
+their labelled shares differ no more than chance would have it, they are merged and
+judged together. A template is rejected when its share of bad labels, smoothed towards
+its host's share and that towards the whole table's, is at least ``REJECT``. Explicit
+rules come first: the longest that fits decides. The ``LEVELS``-th segment of a path
+holds all that follows.
 
 A null url, or one without ``://``, has an empty host and path. Repeated rows and ids
 get a row each. Null labels do not count. Without labels nothing is rejected. An
@@ -27,8 +31,11 @@ from pyspark.sql import functions as F
 
 from fiscalmill.llm.common import stored
 
-COMMON = 0.05
 REJECT = 0.5
+#: Labels that a segment needs to be told from its siblings, and the 99.9th percentile of a chi-square variable with one degree of freedom.
+LABELS = 4
+APART = 10.83
+LEVELS = 12
 #: Pages' worth of belief in the host's share, and in the whole table's.
 PRIOR = 5.0
 
@@ -75,26 +82,27 @@ def shaped(path: Column) -> Column:
 def templates(paths: DataFrame) -> DataFrame:
     """``paths`` (distinct host and shaped path, ``n`` pages) and each one's ``template``.
 
-    The parent of a segment is known by the forms of the segments before it, so
-    all levels of the tree are grown in one pass.
+    Every level is stored before the next one grows on it.
     """
-    by_form = lambda s: s.rlike("<[nh]>")
-    marked = paths.withColumn("segments", F.split("shaped", "/")).withColumn("forms", F.transform("segments", lambda s: F.when(by_form(s), s).otherwise(F.lit("*"))))
-    at = marked.select("host", "n", F.posexplode("segments").alias("level", "segment"), "forms")
-    at = at.where(~by_form(F.col("segment"))).select("host", "n", "level", "segment", F.concat_ws("/", F.slice("forms", 1, F.col("level"))).alias("parent"))
-    children = at.groupBy("host", "level", "parent", "segment").agg(F.sum("n").alias("n"))
-    totals = children.groupBy("host", "level", "parent").agg(F.sum("n").alias("total"))
-    common = children.join(totals.select(F.col("host").alias("h"), F.col("level").alias("l"), F.col("parent").alias("p"), "total"),
-                           (F.col("host") == F.col("h")) & (F.col("level") == F.col("l")) & (F.col("parent") == F.col("p")))
-    # no more than 1 / COMMON segments of a place can be common
-    common = common.where(F.col("n") >= COMMON * F.col("total")).groupBy("host").agg(
-        F.collect_set(F.concat_ws("\t", F.col("level").cast("string"), "parent", "segment")).alias("common")
-    )
-    placed = marked.join(common.withColumnRenamed("host", "h"), F.col("host") == F.col("h"), "left")
-    key = lambda s, i: F.concat_ws("\t", i.cast("string"), F.concat_ws("/", F.slice(F.col("forms"), F.lit(1), i)), s)
-    literal = lambda s, i: F.coalesce(F.array_contains(F.col("common"), key(s, i)), F.lit(False))
-    kept = F.transform("segments", lambda s, i: F.when(by_form(s) | literal(s, i), s).otherwise(F.lit("*")))
-    return placed.withColumn("template", F.concat_ws("/", kept)).drop("segments", "forms", "common", "h")
+    rows = paths.withColumn("segments", F.split("shaped", "/", LEVELS)).withColumn("template", F.lit(""))
+    depth = paths.agg(F.max(F.least(F.size(F.split("shaped", "/", LEVELS)), F.lit(LEVELS))).alias("d")).first()["d"] or 0
+    for level in range(depth):
+        segment = F.get("segments", F.lit(level))
+        formed = segment.rlike("<[nh]>") | (segment == "")
+        children = rows.where(segment.isNotNull() & ~formed).groupBy("host", "template", segment.alias("segment"))
+        children = children.agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
+        places = children.groupBy("host", "template").agg(F.sum("l").alias("pl"), F.sum("b").alias("pb"), F.count("*").alias("siblings"))
+        places = places.select(F.col("host").alias("ph"), F.col("template").alias("pt"), "pl", "pb", "siblings")
+        share = F.try_divide("pb", "pl")
+        distance = F.try_divide(F.pow(F.col("b") - F.col("l") * share, F.lit(2)), F.col("l") * share * (1 - share))
+        apart = (F.col("siblings") == 1) | (F.col("l") >= LABELS) & (F.coalesce(distance, F.lit(0.0)) > APART)
+        literal = children.join(places, (F.col("host") == F.col("ph")) & (F.col("template") == F.col("pt"))).where(apart)
+        literal = literal.select(F.col("host").alias("lh"), F.col("template").alias("lt"), F.col("segment").alias("ls"))
+        grown = rows.join(literal, (F.col("host") == F.col("lh")) & (F.col("template") == F.col("lt")) & (segment == F.col("ls")), "left")
+        name = F.when(formed | F.col("ls").isNotNull(), segment).otherwise(F.lit("*"))
+        longer = name if level == 0 else F.concat(F.col("template"), F.lit("/"), name)
+        rows = stored(grown.withColumn("template", F.when(segment.isNull(), F.col("template")).otherwise(longer)).drop("lh", "lt", "ls"), "level")
+    return rows.drop("segments")
 
 
 def judged(paths: DataFrame) -> DataFrame:

@@ -1,13 +1,15 @@
 """Inputs that operators once got wrong."""
 
+import collections
 import subprocess
 import sys
 import textwrap
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from fiscalmill.llm import chat, html
+from fiscalmill.llm import chat, html, urls
 
 TEXT = "The whole story is told here in some words that stand on no other page of this host at all."
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,3 +69,57 @@ def test_the_entry_lives_without_what_only_the_subpackage_needs(missing):
         assert "risk_by_state" in entry.queries() and "op1_chat_windows" not in entry.queries() and "pipeline" not in entry.oracle_sql()
         """
     subprocess.run([sys.executable, "-c", textwrap.dedent(code)], check=True, cwd=__file__.rsplit("/tests/", 1)[0])
+
+
+def url_verdicts(spark, rows, labels):
+    df = spark.createDataFrame([(i, f"http://h.example{p}") for i, p in enumerate(rows)], "page_id long, url string")
+    marks = spark.createDataFrame(labels, "page_id long, bad int")
+    return {r["path"]: (r["verdict"], r["template"]) for r in urls.filter_urls(df, marks, []).collect()}
+
+
+def test_bad_sections_are_found_whatever_their_share_of_pages(spark):
+    """A bad part of one section among many pages, and one bad section among thirty equal ones."""
+    paths = [f"/shop/casino/{i}" for i in range(32)] + [f"/shop/shoes/{i}" for i in range(48)]
+    paths += [f"/{s}/{t}/{i}" for s in ("blog", "forum", "help") for t in ("a", "b", "c") for i in range(100)]
+    got = url_verdicts(spark, paths, [(i, int("casino" in p)) for i, p in enumerate(paths) if i % 2 == 0 or "casino" in p])
+    assert {p for p, (v, _) in got.items() if v == "block"} == {p for p in paths if "casino" in p}
+    paths = [f"/section{chr(97 + s % 26)}{'x' * (s // 26)}/{i}" for s in range(30) for i in range(40)]
+    got = url_verdicts(spark, paths, [(i, int(i < 40)) for i in range(len(paths))])
+    assert {p for p, (v, _) in got.items() if v == "block"} == set(paths[:40])
+
+
+def test_parts_under_a_wildcard_are_pooled(spark):
+    """Few pages of each member, but what all members' casino pages share is seen."""
+    names = [f"m{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(100)]
+    paths = [f"/user/{n}/{t}" for n in names for t in ("casino", "about", "photos")]
+    got = url_verdicts(spark, paths, [(i, int(p.endswith("casino"))) for i, p in enumerate(paths) if i % 5 == 0])
+    assert all(v == ("block" if p.endswith("casino") else "allow") for p, (v, _) in got.items())
+    assert got["/user/maa/casino"][1] == "/user/*/casino"
+
+
+def test_templates_match_brute_force(spark):
+    import random
+
+    rnd = random.Random(8)
+    paths = sorted({"/" + "/".join(rnd.choice(["a", "b", "c", "d", "7", "x9999"]) for _ in range(rnd.randint(0, 4))) for _ in range(3000)})
+    rows = [(i, p, int(p.startswith("/a/b") or "/c/d" in p or rnd.random() < 0.1)) for i, p in enumerate(paths)]
+    df = spark.createDataFrame([("h", p.replace("7", "<n>").replace("x9999", "x<n>"), 1, 1, bad) for _, p, bad in rows], "host string, shaped string, n long, labelled long, bad long")
+    df = df.groupBy("host", "shaped").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
+    got = {r["shaped"]: r["template"] for r in urls.templates(df).collect()}
+    known = {r["shaped"]: (r["labelled"], r["bad"]) for r in df.collect()}
+    grown = {p: [] for p in known}
+    for level in range(max(p.count("/") for p in known) + 1):
+        places = collections.defaultdict(lambda: collections.defaultdict(lambda: [0, 0]))
+        at = {p: (tuple(grown[p]), p.split("/")[level]) for p in known if p.count("/") >= level}
+        for p, (place, s) in at.items():
+            if s and "<" not in s:
+                places[place][s][0] += known[p][0]
+                places[place][s][1] += known[p][1]
+        for p, (place, s) in at.items():
+            own, n, b = places[place].get(s), sum(v[0] for v in places[place].values()), sum(v[1] for v in places[place].values())
+            keep = not s or "<" in s or len(places[place]) == 1
+            if not keep and own[0] >= urls.LABELS and 0 < b < n:
+                keep = (own[1] - own[0] * b / n) ** 2 / (own[0] * b / n * (1 - b / n)) > urls.APART
+            grown[p].append(s if keep else "*")
+    assert got == {p: "/".join(g) for p, g in grown.items()}
+    assert any("*" in t for t in got.values()) and any("a/b" in t for t in got.values())
