@@ -102,7 +102,7 @@ def test_templates_match_brute_force(spark):
 
     rnd = random.Random(8)
     paths = sorted({"/" + "/".join(rnd.choice(["a", "b", "c", "d", "7", "x9999"]) for _ in range(rnd.randint(0, 4))) for _ in range(3000)})
-    rows = [(i, p, int(p.startswith("/a/b") or "/c/d" in p or rnd.random() < 0.1)) for i, p in enumerate(paths)]
+    rows = [(i, p, int(p.startswith("/a/") or "/c/d" in p or rnd.random() < 0.1)) for i, p in enumerate(paths)]
     df = spark.createDataFrame([("h", p.replace("7", "<n>").replace("x9999", "x<n>"), 1, 1, bad) for _, p, bad in rows], "host string, shaped string, n long, labelled long, bad long")
     df = df.groupBy("host", "shaped").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
     got = {r["shaped"]: r["template"] for r in urls.templates(df).collect()}
@@ -122,4 +122,4 @@ def test_templates_match_brute_force(spark):
                 keep = (own[1] - own[0] * b / n) ** 2 / (own[0] * b / n * (1 - b / n)) > urls.APART
             grown[p].append(s if keep else "*")
     assert got == {p: "/".join(g) for p, g in grown.items()}
-    assert any("*" in t for t in got.values()) and any("a/b" in t for t in got.values())
+    assert any("*" in t for t in got.values()) and any(t.startswith("/a/") for t in got.values())
