@@ -14,7 +14,7 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(registry.queries()) and set(queries.ORACLES) <= set(registry.oracle_sql())
 
 
