@@ -460,6 +460,15 @@ def test_decontamination_matches_brute_force(spark, sf_dir):
     assert {(r["doc_id"], r["item_id"]): (r["n_common"], -r["first_word"]) for r in got} == want and len(want) > 40
 
 
+def test_decontamination_candidates_come_from_the_basis(spark, monkeypatch, sf_dir):
+    item = read(spark, sf_dir, "benchmark").orderBy("item_id").first()
+    docs = spark.createDataFrame([(1, item["text"]), (2, "some other words"), (3, "none of them")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item["text"])], "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(docs, bench).collect()] == [(1, 7)]
+    monkeypatch.setattr(decontaminate, "basis", lambda words, weights: np.zeros((decontaminate.TERMS, decontaminate.RANK)))
+    assert decontaminate.find_items(docs, bench).count() == 0
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(50):
