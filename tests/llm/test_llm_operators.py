@@ -385,6 +385,39 @@ def test_licenses_in_documents_and_reworded(spark, sf_dir):
         assert odd[3][1][r["start"] : r["start"] + r["length"]] == r["text"]
 
 
+LICENSE_PROBES = [
+    ("x " * 30 + "general conditions " + "y " * 55 + "Licensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
+    ("/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+     " * file, You can obtain one at https://mozilla.org/MPL/2.0/. */", ["MPL-2.0"]),
+    ("# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:\n", ["BSD-3-Clause"]),
+    ("MIT License\n\nCopyright (c) 2020 Some One\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated "
+     "documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, "
+     "distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:", ["MIT", "MIT"]),
+    ("This program is free software; you can redistribute it and/or\nmodify it under the terms of the GNU General Public License\nas published by the Free Software "
+     "Foundation; either version 2\nof the License, or (at your option) any later version.", ["GPL-2.0"]),
+    ("Permission to use, copy, modify, and distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+     "copyright notice and this permission notice appear in all copies.", ["ISC"]),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0"]),
+    ("Licensed under CC BY-SA 4.0. Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"] * 2),
+    ("Licensed under CC BY-XX 4.0. Licensed to kill by Apache helicopters, version 2.0", []),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007", ["LGPL-3.0"]),
+]
+
+
+def test_licenses_in_published_wordings(monkeypatch):
+    scanner = licenses.Scanner(licenses.all_wordings())
+    for text, want in LICENSE_PROBES:
+        assert [n[0] for n in scanner.notices(text)] == want, text
+    for own in scanner.wordings:  # every wording is recognised as its own license, wherever it stands
+        text = "foo bar baz qux " * 2000 + own.text + " lorem ipsum dolor " * 2000
+        assert [n[0] for n in scanner.notices(text)] == [own.name], own.text
+    two, three = (licenses._BSD + end for end in ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS", licenses.PUBLISHED["BSD-3-Clause"][1].removeprefix(licenses._BSD)))
+    assert [n[0] for n in scanner.notices(two)] == ["BSD-2-Clause"] and [n[0] for n in scanner.notices(three)] == ["BSD-3-Clause"]
+    # the compression decides: without savings nothing is a notice
+    monkeypatch.setattr(licenses.Scanner, "saved", lambda self, block, own: 0)
+    assert not any(list(scanner.notices(text)) for text, _ in LICENSE_PROBES)
+
+
 def leaks_by_hand(docs, items):
     plain = lambda s: " " + " ".join(re.findall(r"[^\W_]+", (s or "").lower())) + " "
     texts = [(d, plain(t)) for d, t in docs]
