@@ -129,21 +129,19 @@ def basis(words: DataFrame, weights: np.ndarray) -> np.ndarray:
         total = np.zeros((TERMS + 1, RANK + EXTRA), np.float32)
         for batch in slices(batches, "data", 524288):
             rows = _passages(*_documents(batch))
-            weight = weights[rows]
-            weight /= np.maximum(np.linalg.norm(weight, axis=1, keepdims=True), 1e-9)
-            weight = weight.ravel()
-            used = np.flatnonzero(weight)
+            used = np.flatnonzero(rows.ravel() < TERMS)
             if not len(used):
                 continue
             # the same numbers whenever a task runs again
             noise = np.random.default_rng([len(rows), int(rows[0, 0]), int(rows[-1, 0])]).standard_normal((len(rows), RANK + EXTRA), np.float32)
+            weight = np.take(weights, rows)
+            noise /= np.maximum(np.sqrt(np.einsum("ps,ps->p", weight, weight)), 1e-9)[:, None]
             terms = rows.ravel()[used].astype(np.uint16)  # sorted by counting
             order = np.argsort(terms, kind="stable")
             used, terms = used[order], terms[order]
             cuts = np.flatnonzero(np.concatenate(([True], terms[1:] != terms[:-1])))
-            products = noise[used // PASSAGE] * weight[used][:, None]
-            total[terms[cuts]] += np.add.reduceat(products, cuts, axis=0)
-        parts = np.array_split(total[:TERMS], _SLOTS)
+            total[terms[cuts]] += np.add.reduceat(np.take(noise, used // PASSAGE, axis=0), cuts, axis=0)
+        parts = np.array_split(total[:TERMS] * weights[:TERMS, None], _SLOTS)  # a term weighs the same in all passages
         yield pa.RecordBatch.from_arrays([pa.array(range(_SLOTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slot", "data"])
 
     product = _summed(words.mapInArrow(sketch, "slot int, data binary"), "f4").reshape(-1, RANK + EXTRA)
@@ -226,11 +224,51 @@ def _item_side(items: Items, own: np.ndarray, columns: np.ndarray, terms: np.nda
     return out
 
 
-def _window_cosines(along: np.ndarray, begin: np.ndarray, stop: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Cosine of each window (a difference of running sums) with each item."""
-    windows = along[stop] - along[begin]
-    windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
-    return windows @ vectors.T
+class _Sums:
+    """Sums of consecutive rows, put together from sums of 1, 2, 4, ... of them."""
+
+    def __init__(self, rows: np.ndarray):
+        self.powers = [rows]
+
+    def _parts(self, width: int) -> Iterator[tuple[int, np.ndarray]]:
+        at = 0
+        for k in range(width.bit_length()):
+            if len(self.powers) <= k:
+                last, half = self.powers[-1], 1 << (k - 1)
+                self.powers.append(last[:-half] + last[half:])
+            if width >> k & 1:
+                yield at, self.powers[k]
+                at += 1 << k
+
+    def windows(self, width: int, stop: np.ndarray) -> np.ndarray:
+        """For each row the sum of it and those after it, ``width`` together; none from ``stop`` on."""
+        n = len(self.powers[0])
+        out = np.zeros(self.powers[0].shape, self.powers[0].dtype)
+        whole = max(0, n - width + 1)
+        for at, part in self._parts(width):
+            out[:whole] += part[at : at + whole]
+        length = stop - np.arange(n)
+        short = np.flatnonzero(length < width)
+        for fewer in range(1, width):
+            rows = short[length[short] == fewer]
+            if len(rows):
+                out[rows] = sum(part[rows + at] for at, part in self._parts(fewer))
+        return out
+
+
+def _block_vectors(projection: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Sums of four terms' vectors each, some blocks at a time."""
+    out = np.empty((len(terms) // 4, RANK), np.float32)
+    for at in range(0, len(out), 2048):
+        four = np.take(projection, terms[4 * at : 4 * at + 8192], axis=0).reshape(-1, 4 * RANK)
+        half = four[:, : 2 * RANK] + four[:, 2 * RANK :]
+        np.add(half[:, :RANK], half[:, RANK:], out=out[at : at + 2048])
+    return out
+
+
+def _near(windows: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Products of the windows with the items, and what each window's must reach for the least cosine."""
+    return windows @ vectors.T, NEAR * np.maximum(np.sqrt(np.einsum("wr,wr->w", windows, windows)), 1e-9)[:, None]
 
 
 def _search(items: Items, projection: np.ndarray, words: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -248,11 +286,8 @@ def _search(items: Items, projection: np.ndarray, words: np.ndarray, first: np.n
     terms[place] = words & (TERMS - 1)
     weighed = np.full(len(terms), TERMS, np.int64)
     weighed[place] = _terms(words, text)
-    sums = projection[weighed].reshape(-1, 4, RANK).sum(axis=1)
-    running = {}
-    for step in {step for step, _, _ in items.groups}:
-        own = sums if step == 4 else sums[0::2] + sums[1::2]
-        running[step] = np.concatenate([np.zeros((1, RANK), np.float32), np.cumsum(own, axis=0)])
+    sums = _block_vectors(projection, weighed)
+    vectors = {step: _Sums(sums if step == 4 else sums[0::2] + sums[1::2]) for step in {step for step, _, _ in items.groups}}
     # (text, item, start, most words in common) of all candidates that can succeed, and their cosines
     found: list[np.ndarray] = []
     nearness: list[np.ndarray] = []
@@ -263,30 +298,20 @@ def _search(items: Items, projection: np.ndarray, words: np.ndarray, first: np.n
         owner = np.repeat(np.arange(len(sizes)), blocks * (8 // step))
         last = (at[1:] * (8 // step))[owner]  # a text's blocks end here
         widths = -(-items.sizes[group] // step) + 1
-        # sums may wrap around: differences of them are right as long as a window's count fits
         kind = np.uint8 if int(widths.max()) * step < 256 else np.uint32
-        along = np.zeros((len(held) + 1, len(group)), kind)
-        np.cumsum(held, axis=0, dtype=kind, out=along[1:])
         for width in np.unique(widths).tolist():
             low, high = np.searchsorted(widths, [width, width + 1])
             stop = np.minimum(np.arange(len(held)) + width, last)
-            own = along[:, low:high]
-            counts = np.empty((len(held), high - low), kind)
-            whole = max(0, len(held) - width + 1)
-            np.subtract(own[width:], own[:whole], out=counts[:whole])
-            short = np.flatnonzero(stop < np.arange(len(held)) + width)  # at the end of a text
-            counts[short] = own[stop[short]] - own[short]
-            rest = np.arange(whole, len(held))
-            counts[rest] = own[stop[rest]] - own[rest]
-            near = _window_cosines(running[step], np.arange(len(held)), stop, items.vectors[group[low:high]])
-            rows, columns = np.nonzero((near >= NEAR) & (counts >= items.least[group[low:high]].astype(kind)))
+            near, least = _near(vectors[step].windows(width, stop), items.vectors[group[low:high]])
+            counts = _Sums(np.ascontiguousarray(held[:, low:high], kind)).windows(width, stop)
+            rows, columns = np.divmod(np.flatnonzero((near >= least) & (counts >= items.least[group[low:high]].astype(kind))), high - low)
             if not len(rows):
                 continue
             item, begin, end = group[low:high][columns], rows * step, np.minimum(rows + width, last[rows]) * step
             most = np.minimum(counts[rows, columns], _item_side(items, group[low:high], columns, terms, begin, end, width * step))
             good = np.flatnonzero(most >= items.least[item])
             found.append(np.stack([owner[rows], item, begin, most], axis=1)[good])
-            nearness.append(near[rows, columns][good])
+            nearness.append((near[rows, columns] / least[rows, 0])[good])
     if not found:
         return []
     order = np.argsort(-np.concatenate(nearness), kind="stable")
