@@ -139,8 +139,11 @@ def basis(words: DataFrame, weights: np.ndarray) -> np.ndarray:
             terms = rows.ravel()[used].astype(np.uint16)  # sorted by counting
             order = np.argsort(terms, kind="stable")
             used, terms = used[order], terms[order]
-            cuts = np.flatnonzero(np.concatenate(([True], terms[1:] != terms[:-1])))
-            total[terms[cuts]] += np.add.reduceat(np.take(noise, used // PASSAGE, axis=0), cuts, axis=0)
+            passage = used // PASSAGE
+            for at in range(0, len(terms), 8192):  # as much as a processor's cache holds
+                some = terms[at : at + 8192]
+                cuts = np.flatnonzero(np.concatenate(([True], some[1:] != some[:-1])))
+                total[some[cuts]] += np.add.reduceat(np.take(noise, passage[at : at + 8192], axis=0), cuts, axis=0)
         parts = np.array_split(total[:TERMS] * weights[:TERMS, None], _SLOTS)  # a term weighs the same in all passages
         yield pa.RecordBatch.from_arrays([pa.array(range(_SLOTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["slot", "data"])
 
