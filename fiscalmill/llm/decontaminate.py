@@ -44,7 +44,7 @@ from fiscalmill.llm.words import word_hashes, word_spans
 TERMS = 1 << 15
 RANK = 32
 EXTRA = 8
-#: Least cosine of a candidate. With a third of an item's words swapped 99 in 100 stand above it, of unrelated windows about a quarter.
+#: Least cosine of a candidate. With a third of an item's words swapped 99 in 100 stand above it, of unrelated windows about a third (sf0.1).
 NEAR = 0.4
 PASSAGE = 32
 ITEM_BLOCK = 2000
