@@ -4,10 +4,12 @@ On the unit sphere cosine falls as Euclidean distance grows, so a metric tree se
 
 1. A small tree, fitted on at most ``SAMPLE`` vectors, deals all vectors into shards:
    at each node by their distance to a vantage point. Only the cuts come from the
-   sample; every vector is indexed.
-2. A task builds a full tree of its shard and answers blocks of queries together:
-   a subtree is left out for the queries whose best distances, by the triangle
-   inequality, it cannot beat.
+   sample; every vector is indexed. A shard of more than ``CELL`` vectors is dealt
+   into cells by a hash, so a cell stays small however many vectors there are.
+2. Vectors and queries meet sorted by cell, vectors first: a task builds the full tree
+   of a cell and answers the queries that stream by in blocks. Each vector is shuffled
+   once for a search, whatever the number of queries. A subtree is left out for the
+   queries whose best distances, by the triangle inequality, it cannot beat.
 3. A query first searches its own shard, and then, with the distance that it has got,
    those other shards that the triangle inequality leaves. ``factor`` relaxes the
    pruning: a part is skipped when factor times its least possible distance is not
@@ -15,20 +17,22 @@ On the unit sphere cosine falls as Euclidean distance grows, so a metric tree se
 
 Equal vectors, and their multiples by powers of two, (of any number of ids) are one
 entry that keeps as many smallest ids as an answer can hold. Of other entries all that
-rounding cannot part from the last place are scored, however many. Queries go in blocks of ``QUERY_BLOCK``, so no task holds all of
-them. Scores are sums in exact arithmetic, rounded once, on the original vectors.
+rounding cannot part from the last place are scored, however many. Scores are sums in
+exact arithmetic, rounded once, on the original vectors; components of any finite size
+are fine, as vectors are scaled by powers of two before they are squared.
 
 Vectors that are null, zero, or hold nulls or numbers that are not finite take no
 part, nor do null ids. Vectors of different length are not compared. Rows of one id
 are one candidate each when their vectors differ; a query never finds its own id, and
-a repeated query is answered once per distinct vector. An empty table gives none.
+a repeated query is answered once per distinct vector. Equal scores go to the smaller
+id. Other columns, of whatever name, are not read. An empty table gives none.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +44,12 @@ from fiscalmill.llm.common import stored
 
 SAMPLE = 8192
 SHARD = 16384
+#: Vectors that a cell of a shard holds, about.
+CELL = 32768
 LEAF = 256
 QUERY_BLOCK = 8192
+#: Places that a block of queries holds for its finds.
+BLOCK_PLACES = 1 << 19
 #: Cosines nearer than this may be equal.
 SLACK = 1e-12
 _FOUND = "query_id long, qkey long, vec_id long, score double"
@@ -199,35 +207,76 @@ def _exact(a: list[float], b: list[float]) -> float:
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     flat = array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(array), -1) if len(array) else np.empty((0, 1))
+    return _even(flat.reshape(len(array), -1) if len(array) else np.empty((0, 1)))
 
 
-def _answer(k: int, factor: float):
-    def answer(key: tuple[pa.Scalar, ...], points: pa.Table, queries: pa.Table) -> pa.Table:
+def _even(rows: np.ndarray) -> np.ndarray:
+    """The vectors, each times the power of two that brings its largest component near one: angles stay as they are."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True, initial=0))[1])
+
+
+class Cell:
+    """The tree of a cell's vectors and the exact answers that it gives."""
+
+    def __init__(self, points: pa.Table, k: int, factor: float):
+        self.raw, self.ids = _matrix(points.column("vec")), points.column("ids").to_pylist()
+        self.tree, self.k, self.factor = Tree(_unit(self.raw)), k, factor
+        self.held = Counter(v for some in self.ids for v in set(some))
+
+    def answers(self, queries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Queries whose own id has many vectors here look for more places, so fewer of them go together."""
+        own = np.array([self.held.get(q, 0) for q in queries.column("query_id").to_pylist()])
+        order = np.argsort(own, kind="stable")
+        at = 0
+        while at < len(order):
+            stop = min(len(order), at + QUERY_BLOCK)
+            while stop > at + 1 and (stop - at) * (self.k + 1 + own[order[stop - 1]]) > BLOCK_PLACES:
+                stop = at + (stop - at) // 2
+            yield self._block(queries.take(pa.array(order[at:stop])), int(own[order[stop - 1]]))
+            at = stop
+
+    def _block(self, queries: pa.RecordBatch, own: int) -> pa.RecordBatch:
         found: list[tuple] = []
-        if points.num_rows and queries.num_rows:
-            raw, asked = _matrix(points.column("vec")), _matrix(queries.column("vec"))
-            ids = points.column("ids").to_pylist()
-            tree = Tree(_unit(raw))
-            q_ids, q_keys = queries.column("query_id").to_pylist(), queries.column("qkey").to_pylist()
-            # besides an answer the entries of the query's own id
-            own = set(q_ids)
-            held = Counter(v for some in ids for v in set(some) & own)
-            width = min(len(raw), k + 1 + max(held.values(), default=0))
-            rows, cosines = tree.search(_unit(asked), queries.column("best").to_numpy(), width, factor)
-            more: dict[int, list[int]] = {}
-            for i, r in zip(*(a.tolist() for a in tree.tied())):
-                more.setdefault(i, []).append(r)
-            for i in range(len(asked)):
-                vector = asked[i].tolist()
-                scored = []
-                for r in rows[i][rows[i] >= 0].tolist() + more.get(i, []):
-                    score = _exact(vector, raw[r].tolist())
-                    scored += [(-score, v) for v in ids[r] if v != q_ids[i]]
-                found += [(q_ids[i], q_keys[i], v, -s) for s, v in sorted(scored)[:k]]
+        asked = _matrix(queries.column("vec"))
+        q_ids, q_keys = queries.column("query_id").to_pylist(), queries.column("qkey").to_pylist()
+        # besides an answer the entries of the query's own id
+        width = min(len(self.raw), self.k + 1 + own)
+        rows, _ = self.tree.search(_unit(asked), queries.column("best").to_numpy(), width, self.factor)
+        more: dict[int, list[int]] = {}
+        for i, r in zip(*(a.tolist() for a in self.tree.tied())):
+            more.setdefault(i, []).append(r)
+        for i in range(len(asked)):
+            vector = asked[i].tolist()
+            scored = []
+            for r in rows[i][rows[i] >= 0].tolist() + more.get(i, []):
+                score = _exact(vector, self.raw[r].tolist())
+                scored += [(-score, v) for v in self.ids[r] if v != q_ids[i]]
+            found += [(q_ids[i], q_keys[i], v, -s) for s, v in sorted(scored)[: self.k]]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         columns = list(zip(*found)) or [()] * 4
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "qkey", "vec_id", "score"])
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "qkey", "vec_id", "score"])
+
+
+def _answer(k: int, factor: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows sorted by cell, vectors before queries: holds one cell's vectors and a batch of queries."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, points, cell = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells, ask = batch.column("cell").to_numpy(), batch.column("ask").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(cells) != 0) | (ask[1:] != ask[:-1])) + 1
+            for start, stop in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                some = batch.slice(start, stop - start)
+                if cells[start] != number:
+                    number, points, cell = cells[start], [], None
+                if not ask[start]:
+                    points.append(some.select(["ids", "vec"]))
+                elif points or cell:
+                    if cell is None:
+                        cell, points = Cell(pa.Table.from_batches(points), k, factor), []
+                    yield from cell.answers(some)
 
     return answer
 
@@ -269,9 +318,8 @@ def _of_length(entries: DataFrame, queries: DataFrame, n: int, k: int, factor: f
     # the sample is bounded whatever the table: about SAMPLE rows, by a hash of the vector
     share = min(1.0, SAMPLE / n)
     sample = entries.where(F.pmod("vkey", F.lit(1_000_003)) < F.lit(math.ceil(1_000_003 * share))).select("vkey", "vec").orderBy("vkey").limit(2 * SAMPLE).collect()
-    points = np.array([r["vec"] for r in sample], float)
+    points = _even(np.array([r["vec"] for r in sample], float)) if sample else np.empty((0, 1))
     cuts = Cuts(_unit(points) if len(points) else np.empty((0, 1)), max(1, math.ceil(n / SHARD)))
-    shards = len(cuts.leaves)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,35 +327,57 @@ def _of_length(entries: DataFrame, queries: DataFrame, n: int, k: int, factor: f
                 home = cuts.home(_unit(_matrix(batch.column("vec"))))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home)], names=[*batch.schema.names, "shard"])
 
-    placed = stored(entries.select("ids", "vec").mapInArrow(place, "ids array<long>, vec array<double>, shard long"), "shards")
-    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    placed = stored(entries.select("ids", "vec", "vkey").mapInArrow(place, "ids array<long>, vec array<double>, vkey long, shard long"), "shards")
     asked = queries.select("query_id", "qkey", "vec").mapInArrow(place, "query_id long, qkey long, vec array<double>, shard long")
-    asked = stored(asked.select("*", F.pmod(F.xxhash64("query_id", "qkey"), F.lit(blocks)).alias("block"), F.lit(3.0).alias("best")), "queries")
-    in_blocks = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-
-    def search(of: DataFrame) -> DataFrame:
-        return in_blocks.groupBy("shard", "block").cogroup(of.groupBy("shard", "block")).applyInArrow(_answer(k, factor), _FOUND)
-
-    at_home = stored(search(asked), "found")
-    if shards == 1:
-        return at_home
-    # what the own shard gave bounds the search of the others; too few finds bound nothing
-    bound = at_home.groupBy("query_id", "qkey").agg(F.min("score").alias("least"), F.count("*").alias("n"))
-    bound = bound.select(F.col("query_id").alias("q"), F.col("qkey").alias("x"), F.when(F.col("n") >= k, F.sqrt(F.greatest(2 - 2 * F.col("least"), F.lit(0.0)) + SLACK) + 1e-9).otherwise(F.lit(3.0)).alias("bound"))
-    joined = asked.join(bound, (F.col("query_id") == F.col("q")) & (F.col("qkey") == F.col("x")), "left")
-    joined = joined.select("query_id", "qkey", "vec", F.col("shard").alias("home"), "block", F.coalesce("bound", F.lit(3.0)).alias("best"))
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    asked = stored(asked, "queries")
+    # as many shards as the upper tree has leaves, which its sample bounds
+    sizes = {r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()}
+    cells = np.array([-(-sizes.get(s, 0) // CELL) for s in range(len(cuts.leaves))], np.int64)
+    before = np.concatenate(([0], np.cumsum(cells)))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            home = batch.column("home").to_numpy()
-            for shard, rows in enumerate(cuts.reach(_unit(_matrix(batch.column("vec"))), batch.column("best").to_numpy(), factor)):
-                rows = rows[home[rows] != shard]
-                if len(rows):
-                    some = batch.take(pa.array(rows))
-                    columns = [some.column(c) for c in ("query_id", "qkey", "vec")] + [pa.array(np.full(len(rows), shard)), some.column("block"), some.column("best")]
-                    yield pa.RecordBatch.from_arrays(columns, names=["query_id", "qkey", "vec", "shard", "block", "best"])
-
-    others = joined.mapInArrow(spread, "query_id long, qkey long, vec array<double>, shard long, block long, best double")
-    return at_home.unionByName(search(others))
+            if batch.num_rows:
+                shard, key = batch.column("shard").to_numpy(), batch.column("vkey").to_numpy()
+                cell = before[shard] + (key // 1_000_003) % cells[shard]
+                yield pa.RecordBatch.from_arrays([batch.column("ids"), batch.column("vec"), pa.array(cell)], names=["ids", "vec", "cell"])
+
+    def spread(reached: Callable[[pa.RecordBatch], list[np.ndarray]]):
+        """A query once for each cell of the shards that it goes to."""
+
+        def into(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for shard, rows in enumerate(reached(batch) if batch.num_rows else []):
+                    some = batch.take(pa.array(rows)) if len(rows) else None
+                    for cell in range(before[shard], before[shard + 1]) if some else ():
+                        columns = [*(some.column(c) for c in ("query_id", "qkey", "vec", "best")), pa.array(np.full(len(rows), cell))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["query_id", "qkey", "vec", "best", "cell"])
+
+        return into
+
+    def at_home(batch: pa.RecordBatch) -> list[np.ndarray]:
+        home = batch.column("shard").to_numpy()
+        order = np.argsort(home, kind="stable")
+        return np.split(order, np.searchsorted(home[order], np.arange(1, len(cells))))
+
+    def elsewhere(batch: pa.RecordBatch) -> list[np.ndarray]:
+        home = batch.column("shard").to_numpy()
+        reached = cuts.reach(_unit(_matrix(batch.column("vec"))), batch.column("best").to_numpy(), factor)
+        return [rows[home[rows] != shard] for shard, rows in enumerate(reached)]
+
+    def search(of: DataFrame, where: Callable) -> DataFrame:
+        points = placed.mapInArrow(deal, "ids array<long>, vec array<double>, cell long")
+        questions = of.select("query_id", "qkey", "vec", "shard", "best").mapInArrow(spread(where), "query_id long, qkey long, vec array<double>, best double, cell long")
+        sides = points.withColumn("ask", F.lit(False)).unionByName(questions.withColumn("ask", F.lit(True)), allowMissingColumns=True)
+        return sides.repartition(int(before[-1]), "cell").sortWithinPartitions("cell", "ask").mapInArrow(_answer(k, factor), _FOUND)
+
+    own = stored(search(asked.withColumn("best", F.lit(3.0)), at_home), "found")
+    if len(cells) == 1:
+        return own
+    # the last place in the own shard bounds the search of the others; too few finds bound nothing
+    bound = own.groupBy("query_id", "qkey").agg(F.sort_array(F.collect_list("score"), asc=False).alias("found"))
+    last = F.get("found", F.lit(k - 1))
+    bound = bound.select(F.col("query_id").alias("q"), F.col("qkey").alias("x"), F.when(last.isNotNull(), F.sqrt(F.greatest(2 - 2 * last, F.lit(0.0)) + SLACK) + 1e-9).alias("bound"))
+    bounded = asked.join(bound, (F.col("query_id") == F.col("q")) & (F.col("qkey") == F.col("x")), "left")
+    bounded = bounded.withColumn("best", F.coalesce("bound", F.lit(3.0)))
+    return own.unionByName(search(bounded, elsewhere))

@@ -223,9 +223,10 @@ def nearest_by_hand(rows, every, k=5):
     return out
 
 
-@pytest.mark.parametrize("shard", [16384, 60])
-def test_nearest_matches_brute_force(spark, sf_dir, monkeypatch, shard):
+@pytest.mark.parametrize("shard,cell", [(16384, 32768), (16384, 50), (60, 40)])
+def test_nearest_matches_brute_force(spark, sf_dir, monkeypatch, shard, cell):
     monkeypatch.setattr(ann, "SHARD", shard)
+    monkeypatch.setattr(ann, "CELL", cell)
     monkeypatch.setattr(ann, "LEAF", 16)
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
     some = [r["vec"] for r in vectors.orderBy("vec_id").limit(3).collect()]
@@ -251,6 +252,32 @@ def test_nearest_settles_ties_of_distinct_vectors(spark, monkeypatch, shard):
     assert got == sorted(nearest_by_hand([tuple(r) for r in vectors.collect()], 10))
 
 
+def test_nearest_takes_components_of_any_size(spark):
+    rows = [(0, [1e200, 0.0]), (1, [3e-200, 3e-200]), (2, [1e300, 1e299]), (3, [-1.0, 5e-324]), (50, [0.0, 2e250])]
+    vectors = spark.createDataFrame(rows, "vec_id long, vec array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.nearest(vectors, lambda v: v % 50 == 0, k=2).collect()}
+    assert {key: v for key, (v, _) in got.items()} == {(0, 1): 2, (0, 2): 1, (50, 1): 1, (50, 2): 2}
+    assert got[0, 2][1] == pytest.approx(math.sqrt(0.5)) and got[50, 2][1] == pytest.approx(0.1 / math.sqrt(1.01))
+
+
+def test_a_cell_takes_few_queries_whose_own_id_has_many_vectors(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ann, "BLOCK_PLACES", 200)
+    rng = np.random.default_rng(2)
+    vectors, ids = rng.standard_normal((90, 4)), [0] * 60 + list(range(1, 31))
+    cell = ann.Cell(pa.table({"ids": [[i] for i in ids], "vec": vectors.tolist()}), 5, 1.0)
+    asked = pa.record_batch({"query_id": ids, "qkey": list(range(90)), "vec": vectors.tolist(), "best": [3.0] * 90})
+    blocks = list(cell.answers(asked))
+    assert len(blocks) > 2
+    got = sorted(tuple(r.values()) for b in blocks for r in b.to_pylist())
+    want = []
+    for n, (i, v) in enumerate(zip(ids, vectors.tolist())):
+        scored = sorted((-ann._exact(v, w), j) for j, w in zip(ids, vectors.tolist()) if j != i)[:5]
+        want += [(i, n, j, -s) for s, j in scored]
+    assert got == sorted(want)
+
+
 def test_relaxed_pruning_keeps_recall():
     rng = np.random.default_rng(1)
     points = ann._unit(rng.standard_normal((4000, 16)))
