@@ -3,7 +3,10 @@
 * The lexicon is a list of known insults and what labelled texts teach: words that
   stand in toxic texts far more often than in clean ones, after many different
   words (copies of one labelled text always repeat the same neighbours), and stems
-  (written ``stem*``) that toxic texts use at least twice far more often.
+  (written ``stem*``, of ``STEM_LETTERS`` letters) that toxic texts use at least twice
+  far more often. Each stands in ``LEAST_SHARE`` of the toxic texts of the sample, so
+  there are at most 1 / ``LEAST_SHARE`` times as many as a text has different words;
+  none that qualifies is left out.
 * Its terms form a trie. A Levenshtein automaton of a word runs down the trie and
   keeps only branches that can still end within the allowed edits: none below five
   letters, one from five, two from ten.
@@ -16,7 +19,9 @@
 At most about ``SAMPLE`` labelled texts are used for training (a documented bound,
 drawn by a hash of the text); repeated texts count once. The text alone is scored;
 empty and null texts get the score of a text without any hit. Repeated rows get
-equal scores. Without labelled texts the known insults and a fixed model serve.
+equal scores; other columns, of whatever name, are only carried along. Long texts are
+read whole, and of terms at equal edits the first in order counts. Without labelled
+texts the known insults and a fixed model serve; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -34,7 +39,10 @@ from fiscalmill.llm.words import word_hashes, word_spans
 
 SAMPLE = 20_000
 CONTEXT = 5
-MOST_TERMS = 2000
+#: A learned word or stem marks at least this share of the toxic texts, and so many of them.
+LEAST_SHARE, LEAST_TEXTS = 0.01, 5
+#: Letters of a learned stem; a learned word has at least as many as the shortest.
+STEM_LETTERS = (3, 8)
 THRESHOLD = 0.7
 #: Bytes of text whose words and pairs of words a task counts at once.
 COUNTED_BYTES = 1 << 20
@@ -222,6 +230,7 @@ def _sampled(labelled: DataFrame) -> DataFrame:
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
     """Known insults plus words that mark toxic texts; a learned word must follow many different words there."""
+    shortest, longest = STEM_LETTERS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", COUNTED_BYTES):
@@ -232,9 +241,9 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
                 stems: dict[str, int] = {}
                 into = marks[bool(label)]
                 for word, n in Counter(words).items():
-                    if 3 <= len(word) <= 40 and word.isalpha():
+                    if shortest <= len(word) and word.isalpha():
                         into[word] = into.get(word, 0) + 1
-                        for k in range(3, min(len(word), 8) + 1):
+                        for k in range(shortest, min(len(word), longest) + 1):
                             stems[word[:k]] = stems.get(word[:k], 0) + n
                 for stem, n in stems.items():
                     if n > 1:
@@ -256,19 +265,22 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         words = stored(counts.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"), F.countDistinct("before").alias("b")), "words")
         odds = (F.col("t") + 0.5) / (n_toxic + 1) / ((F.col("c") + 0.5) / (n_clean + 1))
         stem = F.col("word").endswith("*")
-        marked = words.where((F.col("t") >= F.greatest(F.lit(5), F.lit(0.01 * n_toxic))) & (stem | (F.col("b") >= 0.75 * F.col("t"))) & (odds > 10))
-        ranked = [r.asDict() for r in marked.orderBy(F.desc(odds), "word").limit(20 * MOST_TERMS).collect()]
+        marked = words.where((F.col("t") >= F.lit(max(LEAST_TEXTS, LEAST_SHARE * n_toxic))) & (stem | (F.col("b") >= 0.75 * F.col("t"))) & (odds > 10))
+        ranked = [r.asDict() for r in marked.collect()]  # bounded by their share of the sample
         weight = {r["word"]: min(1.0, (r["t"] + 1) / (r["t"] + r["c"] * n_toxic / n_clean + 2)) for r in ranked}
-        chosen: list[str] = []
+        chosen: set[str] = set()
+        within = {w[:k] for w in terms for k in range(1, len(w) + 1)}  # beginnings of what is chosen or known
         # of stems that mark the same texts the longest; none within another
         for r in sorted((r for r in ranked if r["word"].endswith("*")), key=lambda r: (-r["t"], -len(r["word"]), r["word"])):
             new = r["word"][:-1]
-            if not any(new.startswith(c) or c.startswith(new) for c in chosen) and not any(new.startswith(w) or w.startswith(new) for w in terms):
-                chosen.append(new)
-        chosen = chosen[: MOST_TERMS // 2]
+            begun = [new[:k] for k in range(1, len(new) + 1)]
+            if new not in within and not any(b in chosen or b in terms for b in begun):
+                chosen.add(new)
+                within.update(begun)
+        single = [r["word"] for r in ranked if not r["word"].endswith("*")]
+        single = [w for w in single if w not in terms and not any(w[:k] in chosen for k in range(1, len(w) + 1))]
+        terms.update({w: weight[w] for w in single})
         terms.update({c + "*": weight[c + "*"] for c in chosen})
-        single = [r["word"] for r in ranked if not r["word"].endswith("*") and not r["word"].startswith(tuple(chosen))]
-        terms.update({w: weight[w] for w in single[: MOST_TERMS // 2] if w not in terms})
         # misspellings that clean texts use about as often are words of their own; no more than lie within two edits of the terms
         near = sorted(terms)
 

@@ -1,15 +1,17 @@
 """Inputs that operators once got wrong."""
 
 import collections
+import random
 import subprocess
 import sys
 import textwrap
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import chat, html, urls
+from fiscalmill.llm import chat, html, toxicity, urls
 
 TEXT = "The whole story is told here in some words that stand on no other page of this host at all."
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -123,3 +125,66 @@ def test_templates_match_brute_force(spark):
             grown[p].append(s if keep else "*")
     assert got == {p: "/".join(g) for p, g in grown.items()}
     assert any("*" in t for t in got.values()) and any(t.startswith("/a/") for t in got.values())
+
+
+def _letters(rng, n):
+    return "".join(rng.choice("bcdfghklmnprstvw") for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def abuse(spark):
+    """Toxic texts with misspelled insults, clean ones that quote insults; training rows and others."""
+    rng, filler = random.Random(8), ["the", "town", "council", "met", "again", "on", "water", "roads", "and", "parks", "today", "after", "lunch"]
+
+    def some(n):
+        return " ".join(rng.choice(filler) for _ in range(n))
+
+    def misspelled(word):
+        at = rng.randint(1, len(word) - 2)
+        return word[:at] + rng.choice("xqjz") + word[at + 1 :]
+
+    def rows(n):
+        out = []
+        for _ in range(n):
+            insult = rng.choice(["idiot", "moron", "worthless", "pathetic", "disgusting", "imbecile"])
+            out += [(f"{some(12)} you {misspelled(insult)} {some(12)}", 1), (f'{some(12)} he said "{insult}" {some(12)}', 0), (f"{some(25)} {_letters(rng, 7)}", 0)]
+        return out
+
+    train, test = rows(150), rows(60)
+    model = toxicity.train(spark.createDataFrame(train, "text string, toxic int"))
+    return model, test
+
+
+def right(model, rows):
+    matcher = toxicity.Matcher(model.lexicon)
+    scores = model.scores(matcher, pa.array([t for t, _ in rows], pa.string()))
+    return sum((s >= toxicity.THRESHOLD) == bool(y) for s, (_, y) in zip(scores, rows)) / len(rows)
+
+
+def test_misspellings_and_contexts_decide(abuse):
+    model, rows = abuse
+    assert right(model, rows) >= 0.98
+
+
+def test_without_edits_misspelled_abuse_is_missed(abuse, monkeypatch):
+    model, rows = abuse
+    monkeypatch.setattr(toxicity, "edits", lambda length: 0)
+    assert right(model, [r for r in rows if r[1]]) <= 0.1
+
+
+def test_without_contexts_quotations_and_abuse_are_alike(abuse, monkeypatch):
+    model, rows = abuse
+    monkeypatch.setattr(toxicity.Matcher, "_quoted", staticmethod(lambda around, at: False))
+    monkeypatch.setattr(toxicity, "ADDRESS", set())
+    assert right(model, rows) <= 0.8
+
+
+def test_every_term_that_qualifies_is_learned(spark):
+    rng = random.Random(5)
+    marks = [f"{_letters(rng, 12)}{_letters(rng, n)}" for n in (1, 30, 60) for _ in range(400)]
+    # every mark stands in ten texts, each time after another word
+    texts = [(" ".join(f"{_letters(rng, 6)} {m}" for m in marks[k::20]), 1) for k in range(20) for _ in range(10)]
+    texts += [(" ".join(_letters(rng, 6) for _ in range(30)), 0) for _ in range(400)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(texts, "text string, toxic int"))
+    covered = toxicity.Trie(lexicon.terms)
+    assert all(covered.nearest(m) is not None for m in marks)
