@@ -270,7 +270,8 @@ def links(classes: DataFrame, t: int) -> DataFrame:
     part = lambda k: F.element_at(F.array(*[F.lit(np.uint64(o[k]).astype(np.int64).item()) for o in outside]), F.col("slot") + 1)
     subs = F.array(*[F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(part(k))) for k in range(t + 1)])
     keyed = marked.select("slot", "value", "fp", "own", F.explode(F.when(F.col("hot"), subs).otherwise(F.array(F.lit(0).cast("long")))).alias("sub"))
-    shards = max(1, -(-n * len(groups) // SHARD_ROWS))
+    probed = n * sum(comb(len(bits), k) for bits, own in groups for k in range(own + 1))
+    shards = max(1, -(-probed // SHARD_ROWS))
     keyed = keyed.withColumn("shard", F.pmod(F.xxhash64("slot", "value", "sub"), F.lit(shards)))
     return keyed.groupBy("shard").applyInArrow(_verify(t), "u long, v long")
 
