@@ -19,7 +19,7 @@ from fiscalmill.operators.pivot import column_values, get_column_values, pivot,
 from fiscalmill.operators.ranges import dense_ids
 from fiscalmill.operators.series import date_spine, generate_series
 from fiscalmill.operators.small import checked_broadcast
-from fiscalmill.operators.union import relations_by_pattern, union_relations
+from fiscalmill.operators.union import relations_by_pattern, relations_by_prefix, union_relations
 from fiscalmill.plans import bronze, build, cards, gold, insights, legacy, silver
 from fiscalmill.quality import checks, runner
 from fiscalmill.quality.suites import GOLD, SILVER
@@ -27,6 +27,7 @@ from fiscalmill.session import scratch_dir
 from fiscalmill.sources import json_feeds, manifest, sheets
 from fiscalmill.sources.files import (
     CITY_COLUMNS,
+    LAYERS,
     LayerTables,
     append_new_years,
     new_years_only,
@@ -326,6 +327,20 @@ def build_layers(spark, sf):
     return _union_all(counts)
 
 
+@query
+def build_databases(spark, sf):
+    """A fresh build with one database per layer, tables in buckets by municipality and stored bronze views; rows per table of the catalog."""
+    root = scratch_dir(spark, "databases")
+    for layer in LAYERS:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root}/{layer}'")
+    tables = LayerTables(spark, buckets=8)
+    raw = {name: tables.write("raw", name, df) for name, df in raw_tables(spark, sf).items()}
+    build.bronze_views(tables)
+    layers = {"brz": "bronze", "slv": "silver"}
+    stored = [f"{layers.get(name[:3], 'gold')}.{name}" for name in build.build_all(tables, raw)]
+    return _union_all([spark.table(name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n")) for name in stored])
+
+
 def _union_all(parts: list[DataFrame]) -> DataFrame:
     whole = parts[0]
     for part in parts[1:]:
@@ -569,6 +584,15 @@ def tables_by_pattern_union(spark, sf):
     return union_relations(found, source_column_name="src")
 
 
+@query
+def tables_by_prefix_union(spark, sf):
+    """One view per return flag, found again by the beginning of their names."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    for flag in ("A", "N", "R"):
+        lines.filter(F.col("l_returnflag") == flag).createOrReplaceTempView(f"fm_lines_{flag.lower()}")
+    return union_relations(relations_by_prefix(spark, None, "fm_LINES_", exclude="%_n"), source_column_name="src")
+
+
 @query
 def single_value_filter(spark, sf):
     """Orders of the last order day, through a one-row value."""
@@ -992,6 +1016,38 @@ def json_coerce(spark, sf):
     return json_feeds.gdp_from_records(json_feeds.gdp_records(derived(spark, sf, GDP_FEED)))
 
 
+@query
+def load_files(spark, sf):
+    """Files -> raw tables: sheets with three layouts of header, a register and a GDP feed with an array per line."""
+    root = scratch_dir(spark, "files")
+    key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    year, name = F.lit("2021.0"), F.col("o_orderpriority")
+    layouts = {
+        "F": {"Instituição": name, "Cod.IBGE": key, "População": cust, "Ano_Base": year},
+        "O": {"Ano_Base": year, "CAPAG_2023": F.lit("A"), "Código Município Completo": F.concat(key, F.lit(".0")), "Município": name},
+        "P": {"Cod.IBGE": key, "Ignored": cust, "População": cust, "Nome_Município": name, "Ano_Base": year},
+    }
+    for status, cells in layouts.items():  # every file begins with its header
+        rows = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
+        rows.select(*cells.values()).toDF(*cells).write.option("header", True).csv(f"{root}/sheets/{status}")
+    derived(spark, sf, CITY_FEED).select("json").write.text(f"{root}/cities")
+    derived(spark, sf, GDP_FEED).select("json").write.text(f"{root}/gdp")
+    sheet_folders = [f"{root}/sheets/{status}" for status in layouts]
+    raw = build.load_raw(LayerTables(spark, f"{root}/lake"), sheet_folders, f"{root}/cities", f"{root}/gdp", register_check=False, lines=True)
+
+    def rows(name, code, label, *detail):
+        texts = [F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in detail]
+        return raw[name].select(F.lit(name).alias("source"), F.col(code).cast("string").alias("code"), F.col(label).alias("name"), F.concat_ws("|", *texts).alias("detail"))
+
+    return _union_all(
+        [
+            rows("capag_brasil", "cod_ibge", "instituicao", "populacao", "classificacao_capag", "ano_base"),
+            rows("cidades_brasil", "Codigo", "Nome", "Id", "UF"),
+            rows("pib_municipal", "cod_ibge", "nome_municipio", "ano", "uf", (F.col("pib") * 100).cast("bigint")),
+        ]
+    )
+
+
 @query
 def register_assertions(spark, sf):
     """The register passes its sanity bounds (scaled down) and comes through whole."""

@@ -28,19 +28,22 @@ def at_once(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]]) -> Ta
         return {name: job.result() for name, job in running.items()}
 
 
-def load_raw(tables: LayerTables, ratings: str | list[str], cities: str, gdp: str | list[str], register_check: bool = True) -> Tables:
+def load_raw(
+    tables: LayerTables, ratings: str | list[str], cities: str, gdp: str | list[str], register_check: bool = True, lines: bool = False
+) -> Tables:
     """Sheet files, register and GDP feeds -> the three raw tables, replaced whole.
 
-    GDP rows are stored in (year, code) order.
+    GDP rows are stored in (year, code) order.  ``lines``: the feeds hold an array per
+    line instead of one per file.
     """
     spark = tables.spark
-    register = read_cities(spark, cities)
+    register = read_cities(spark, cities, lines)
     if register_check:
         register = assert_register(register)
     sources = {
         "capag_brasil": load_sheets(spark, ratings),
         "cidades_brasil": register,
-        "pib_municipal": range_sorted(read_gdp(spark, gdp), "ano", "cod_ibge"),
+        "pib_municipal": range_sorted(read_gdp(spark, gdp, lines), "ano", "cod_ibge"),
     }
     stored = at_once(spark, {name: (lambda n=name, df=df: tables.write("raw", n, df)) for name, df in sources.items()})
     if not tables.root:

@@ -17,14 +17,22 @@ GDP_RECORD = "D3C string, D1C string, D1N string, V string"
 GDP_SCHEMA = f"array<struct<{GDP_RECORD}>>"
 
 
-def read_cities(spark: SparkSession, path: str) -> DataFrame:
-    """Register files, each one JSON array; positions count within a file."""
-    return cities_from_json(spark.read.text(path, wholetext=True), "value")
+def read_cities(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
+    """Register files, each one JSON array; positions count within an array.
+
+    An array is one row and must fit a task.  With ``lines`` every line of a file is an
+    array of its own (a state's, say), so files of any size are split among tasks.
+    """
+    return cities_from_json(spark.read.text(path, wholetext=not lines), "value")
 
 
-def read_gdp(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """GDP files, each a JSON array of records; files are read in parallel."""
-    return gdp_from_records(spark.read.schema(GDP_RECORD).json(path, multiLine=True))
+def read_gdp(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
+    """GDP files, each a JSON array of records; files are read in parallel.
+
+    With ``lines`` every line is a record or an array of them, so large files are split
+    among tasks as well; without, a file is read by one task.
+    """
+    return gdp_from_records(spark.read.schema(GDP_RECORD).json(path, multiLine=not lines))
 
 
 def cities_from_json(feed: DataFrame, json: str = "json") -> DataFrame:
