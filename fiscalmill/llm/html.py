@@ -16,9 +16,12 @@ A name of a class or id counts as a whole: ``has-sidebar`` and ``comments-open``
 part goes with. ``article``, ``main`` and ``body`` are never left out by such names, nor the
 header of an article.
 
-A host with more than ``HOST_PAGES`` pages is cut into random groups of that size.
-Boilerplate is what stands on at least 3 pages and a twentieth of the group's, so a
-group shows the same as the whole host would. Pages with equal text count as one.
+Boilerplate is what stands on at least 3 pages and a twentieth of the host's; pages with
+equal text count as one. A host with more than ``HOST_PAGES`` pages is dealt into groups of
+about that size, which only share the work: a run that stands on a twentieth of the host's
+texts does so in at least one group, if each text counts in one group alone. The groups
+name such runs by their suffix arrays, all groups count them, and the sums over the host
+decide, so the result is that of the host as a whole.
 
 Null or empty html gives an empty text. Null urls share one host. Repeated rows and
 ids get a row each. An empty table gives an empty result.
@@ -35,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fiscalmill.llm.common import slices, text_arrays
 from fiscalmill.llm.words import word_hashes, word_spans
@@ -159,14 +163,27 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
     return out
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, least: int) -> np.ndarray:
-    """Which tokens lie in a run of ``RUN`` tokens that stands on ``least`` distinct pages.
+def _whole_runs(page: np.ndarray) -> np.ndarray:
+    """Where a run of ``RUN`` tokens starts that does not go over the end of its page."""
+    n = len(page)
+    return np.flatnonzero(page[RUN - 1 :] == page[: n - RUN + 1]) if n >= RUN else np.empty(0, np.int64)
+
+
+def _covered(starts: np.ndarray, n: int) -> np.ndarray:
+    """Which of n tokens lie in a run that starts at one of the places."""
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + RUN, -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def frequent(tokens: np.ndarray, page: np.ndarray, least: int) -> np.ndarray:
+    """Where the runs of ``RUN`` tokens start that stand on ``least`` distinct pages.
 
     ``page`` is the page of each token, ascending. Prefix doubling sorts the suffixes
     by their first 1, 2, 4 ... tokens; a run never goes over the end of a page.
     """
     n = len(tokens)
-    covered = np.zeros(n + 1, np.int64)
     _, rank = np.unique(tokens, return_inverse=True)
     rank, width = rank.astype(np.int64) + 1, 1
     while width < RUN:
@@ -176,18 +193,29 @@ def repeated(tokens: np.ndarray, page: np.ndarray, least: int) -> np.ndarray:
             following[:-width][same] = rank[width:][same]
         _, rank = np.unique(rank * (int(rank.max(initial=0)) + 1) + following, return_inverse=True)
         rank, width = rank.astype(np.int64) + 1, width * 2
-    whole = np.flatnonzero(np.concatenate((page[RUN - 1 :] == page[: n - RUN + 1], np.zeros(min(n, RUN - 1), bool)))) if n >= RUN else np.empty(0, np.int64)
+    whole = _whole_runs(page)
     order = whole[np.lexsort((page[whole], rank[whole]))]  # the suffix array, equal runs by page
     if not len(order):
-        return covered[:-1] > 0
+        return order
     new_run = np.concatenate(([True], np.diff(rank[order]) != 0))
     new_page = new_run | np.concatenate(([True], np.diff(page[order]) != 0))
     run = np.cumsum(new_run) - 1
     pages = np.bincount(run[new_page])
-    hits = order[pages[run] >= least]
-    np.add.at(covered, hits, 1)
-    np.add.at(covered, hits + RUN, -1)
-    return np.cumsum(covered[:-1]) > 0
+    return order[pages[run] >= least]
+
+
+def repeated(tokens: np.ndarray, page: np.ndarray, least: int) -> np.ndarray:
+    """Which tokens lie in a run of ``RUN`` tokens that stands on ``least`` distinct pages."""
+    return _covered(frequent(tokens, page, least), len(tokens))
+
+
+def run_names(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64 bits for each run, the same in every group."""
+    name = np.zeros(len(starts), np.uint64)
+    for i in range(RUN):
+        name = (name ^ tokens[starts + i].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        name ^= name >> np.uint64(29)
+    return name.view(np.int64)
 
 
 def host_of(url: Column) -> Column:
@@ -207,21 +235,97 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), batch.column("host"), texts, certain], names=names)
 
 
-def _decide(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Main texts of one group of a host's pages."""
-    texts, certain = table.column("texts").to_pylist(), table.column("certain").to_pylist()
-    streams = [" ".join(t) for t in texts]
-    data, offsets = text_arrays(pa.array(streams, pa.large_string()))
-    starts, ends, first = word_spans(data, offsets)
-    tokens = word_hashes(data, starts, ends)
-    page = np.repeat(np.arange(len(streams)), np.diff(first))
-    # of pages with the same text only one counts
-    of_text = {t: i for i, t in reversed(list(enumerate(streams)))}
-    alike = np.array([of_text[t] for t in streams], np.int64)
-    covered = np.zeros(len(tokens), bool)
-    distinct = alike[page] == page
-    hit = repeated(tokens[distinct], page[distinct], max(3, math.ceil(SHARE * len(of_text))))
-    covered[distinct] = hit
+class _Group:
+    """The token streams of a group of a host's pages."""
+
+    def __init__(self, table: pa.Table):
+        self.texts, self.certain = table.column("texts").to_pylist(), table.column("certain").to_pylist()
+        self.streams = [" ".join(t) for t in self.texts]
+        self.data, self.offsets = text_arrays(pa.array(self.streams, pa.large_string()))
+        starts, ends, self.first = word_spans(self.data, self.offsets)
+        self.tokens = word_hashes(self.data, starts, ends)
+        self.page = np.repeat(np.arange(len(self.streams)), np.diff(self.first))
+        # of pages with the same text only one counts
+        self.of_text = {t: i for i, t in reversed(list(enumerate(self.streams)))}
+        self.alike = np.array([self.of_text[t] for t in self.streams], np.int64)
+
+    def least(self) -> int:
+        return max(3, math.ceil(SHARE * len(self.of_text)))
+
+    def counting(self, elsewhere: pa.Table, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Tokens and pages of the texts that count here, and their number; those that count in another group are left out."""
+        counts = np.zeros(len(self.streams), bool)
+        counts[list(self.of_text.values())] = True
+        counts &= ~np.isin(names, elsewhere.column("name").to_numpy())
+        taken = counts[self.page]
+        return self.tokens[taken], self.page[taken], int(counts.sum())
+
+
+def _text_names(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The distinct texts of a group, by name; none if the group is a whole host."""
+    names = table.column("text_name").unique() if table.column("groups")[0].as_py() > 1 else pa.array([], pa.int64())
+    return pa.table({"host": _repeat(key[0], len(names)), "part": _repeat(key[1], len(names)), "name": names})
+
+
+def _repeat(value: pa.Scalar, n: int) -> pa.Array:
+    return pa.array([value.as_py()] * n, value.type)
+
+
+def _candidates(key: tuple[pa.Scalar, ...], table: pa.Table, elsewhere: pa.Table) -> pa.Table:
+    """Runs that stand on a twentieth of the texts that count in this group, and how many texts these are."""
+    names, groups, n = np.empty(0, np.int64), 0, 0
+    if table.num_rows and (groups := table.column("groups")[0].as_py()) > 1:
+        group = _Group(table)
+        tokens, page, n = group.counting(elsewhere, table.column("text_name").to_numpy())
+        names = np.unique(run_names(tokens, frequent(tokens, page, max(1, math.floor(SHARE * n)))))
+    rows = len(names) + (n > 0)
+    # the row without a name holds the number of texts
+    return pa.table(
+        {
+            "host": _repeat(key[0], rows), "groups": pa.array([groups] * rows, pa.int64()),
+            "name": pa.array([*names.tolist(), *[None] * (n > 0)], pa.int64()), "n": pa.array([0] * len(names) + [n] * (n > 0), pa.int64()),
+        }
+    )
+
+
+def _counts(key: tuple[pa.Scalar, ...], table: pa.Table, asked: pa.Table) -> pa.Table:
+    """On how many of the texts that count in this group each candidate stands."""
+    names, n = np.empty(0, np.int64), np.empty(0, np.int64)
+    run = asked.column("run").to_numpy(zero_copy_only=False).astype(bool)
+    if table.num_rows and run.any():
+        group = _Group(table)
+        tokens, page, _ = group.counting(asked.filter(pa.array(~run)), table.column("text_name").to_numpy())
+        starts = _whole_runs(page)
+        found = run_names(tokens, starts)
+        of = np.isin(found, asked.column("name").to_numpy()[run])
+        pairs = np.unique(np.stack((found[of], page[starts[of]]), axis=1), axis=0)
+        names, n = np.unique(pairs[:, 0], return_counts=True)
+    return pa.table({"host": _repeat(key[0], len(names)), "name": pa.array(names, pa.int64()), "n": pa.array(n, pa.int64())})
+
+
+def _decide_whole(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Main texts of a host's pages."""
+    return _main_texts(table, None)
+
+
+def _decide(key: tuple[pa.Scalar, ...], table: pa.Table, runs: pa.Table) -> pa.Table:
+    """Main texts of a group of a host's pages; ``runs`` are the host's boilerplate if it has several groups."""
+    whole = not table.num_rows or table.column("groups")[0].as_py() == 1
+    return _main_texts(table, None if whole else runs.column("name").to_numpy())
+
+
+def _main_texts(table: pa.Table, runs: np.ndarray | None) -> pa.Table:
+    group = _Group(table)
+    texts, certain, streams, first, alike = group.texts, group.certain, group.streams, group.first, group.alike
+    data, offsets = group.data, group.offsets
+    covered = np.zeros(len(group.tokens), bool)
+    distinct = alike[group.page] == group.page
+    tokens, page = group.tokens[distinct], group.page[distinct]
+    if runs is None:
+        covered[distinct] = repeated(tokens, page, group.least())
+    else:
+        starts = _whole_runs(page)
+        covered[distinct] = _covered(starts[np.isin(run_names(tokens, starts), runs)], len(tokens))
     main, boilerplate = [], []
     for i, (own, sure) in enumerate(zip(texts, certain)):
         a, b = first[alike[i]], first[alike[i] + 1]
@@ -245,14 +349,37 @@ def _decide(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     )
 
 
+def _boilerplate(grouped: DataFrame) -> DataFrame:
+    """(host, part, name): the runs that are boilerplate of each host of several groups, for each of its groups."""
+    by_group = lambda df: df.groupBy("host", "part")
+    texts = by_group(grouped).applyInArrow(_text_names, "host string, part long, name long")
+    first = F.min("part").over(Window.partitionBy("host", "name"))
+    elsewhere = texts.withColumn("counts_in", first).where("part > counts_in").select("host", "part", "name")
+    found = by_group(grouped).cogroup(by_group(elsewhere)).applyInArrow(_candidates, "host string, groups long, name long, n long")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part")
+    asked = found.where("name is not null").select("host", "groups", "name").distinct().select("host", every, "name", F.lit(True).alias("run"))
+    asked = asked.unionByName(elsewhere.withColumn("run", F.lit(False)))
+    counts = by_group(grouped).cogroup(by_group(asked)).applyInArrow(_counts, "host string, name long, n long")
+    total = found.where("name is null").groupBy("host").agg(F.sum("n").alias("texts"), F.max("groups").alias("groups"))
+    least = F.greatest(F.lit(3), F.ceil(F.lit(SHARE) * F.col("texts")))
+    return counts.groupBy("host", "name").agg(F.sum("n").alias("n")).join(total, "host").where(F.col("n") >= least).select("host", every, "name")
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, n_tokens, n_boilerplate) of every page."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(F.col("url")).alias("host"), "html")
     large = rows.groupBy("host").count().where(F.col("count") > HOST_PAGES).select(F.col("host").alias("large"), F.ceil(F.col("count") / HOST_PAGES).alias("groups"))
     parsed = rows.mapInArrow(_parse, _PARSED)
-    # large hosts go to all tasks while they are few, else the pages are dealt by host and again by group
-    few = large.count() <= FEW_HOSTS
+    # large hosts go to all tasks while they are few, else the pages are dealt by host and again by group; the results are the same
+    n_large = large.count()
+    few = n_large <= FEW_HOSTS
     grouped = parsed.join(F.broadcast(large) if few else large, F.col("host") == F.col("large"), "left")
-    group = F.when(F.col("groups") > 1, F.pmod(F.xxhash64("page_id", "url"), F.col("groups"))).otherwise(F.lit(0))
-    grouped = grouped.withColumn("part", group).select("host", "part", "page_id", "url", "texts", "certain")
-    return (grouped if few else grouped.repartition("host", "part")).groupBy("host", "part").applyInArrow(_decide, _MAIN)
+    groups = F.coalesce(F.col("groups"), F.lit(1)).cast("long")
+    grouped = grouped.withColumn("groups", groups).withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.col("groups")))
+    grouped = grouped.select("host", "part", "groups", "page_id", "url", F.xxhash64(F.array_join("texts", " ")).alias("text_name"), "texts", "certain")
+    # every step reads the pages as they were dealt once
+    grouped = grouped.repartition("host", "part") if n_large else grouped
+    if not n_large:
+        return grouped.groupBy("host", "part").applyInArrow(_decide_whole, _MAIN)
+    runs = _boilerplate(grouped)
+    return grouped.groupBy("host", "part").cogroup(runs.groupBy("host", "part")).applyInArrow(_decide, _MAIN)

@@ -350,6 +350,24 @@ def test_host_boilerplate_goes_and_unique_text_stays(spark):
     assert by_text((r["page_id"], r["text"]) for r in got) == by_text([(i, f"{i} stands here") for i in range(6)] + [(None, ""), (3, ""), (7, "q")])
 
 
+def test_groups_of_a_host_decide_as_the_whole_host(spark, monkeypatch):
+    # one line stands on 6 of 90 distinct texts (of 5 % of them: boilerplate), one on 4; groups alone would see other shares
+    common, rare = "Home News Sport Weather Shop Travel More About", "one two three four five six seven eight"
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(12))
+    rows = []
+    for i in range(90):
+        extra = common if i % 15 == 0 else rare if i % 25 == 1 else ""
+        rows.append((i, f"http://a.b/{i}", f"<body><div>{extra}</div><p>{own(i)}</p>"))
+    rows += [(100 + i, f"http://a.b/{i}", rows[2][2]) for i in range(60)]  # copies count once, in whatever group they are
+    rows += [(300 + i, "http://c.d/", "<body><div>" + common + f"</div><p>text {i}</p>") for i in range(3)] + [(400, None, None), (401, None, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = html.main_text(pages).collect()
+    assert {r["page_id"] for r in whole if r["n_boilerplate"]} == {*range(0, 90, 15), 300, 301, 302}
+    for size in (40, 9):
+        monkeypatch.setattr(html, "HOST_PAGES", size)
+        assert by_text(html.main_text(pages).collect()) == by_text(whole)
+
+
 def test_pages_give_their_articles(spark, sf_dir):
     import html as decode
 
