@@ -267,3 +267,20 @@ def test_files_to_gold(spark, tmp_path):
     for ano, rows in ((2020, 2), (None, 2), (1999, 0)):
         assert sum(r["n"] for r in spark.sql(card, args={"ano": ano}).collect()) == rows
     assert spark.table("gold.insights_risco_fiscal").count() > 0
+
+
+def test_a_build_bounds_what_a_task_takes_and_restores_the_session(spark, monkeypatch):
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before, seen = [spark.conf.get(n) for n in names], []
+
+    def step(*_):
+        seen.append([spark.conf.get(n) for n in names])
+        return {}
+
+    for layer in ("silver_layer", "gold_layer"):
+        monkeypatch.setattr(build, layer, step)
+    monkeypatch.setattr(build, "bronze_layer", step)
+    monkeypatch.setattr(build.insights, "save_insights", lambda *_: step() or None)
+    build.build_all(LayerTables(spark, "/nowhere"), {}, gates=False)
+    assert seen == [[build.PIECE, build.SPLIT]] * 4
+    assert [spark.conf.get(n) for n in names] == before
