@@ -25,6 +25,8 @@ Tables = dict[str, DataFrame]
 PIECE = "4m"
 #: Bytes of a stored table that a task of a build reads at once, for the same reason.
 SPLIT = "16m"
+#: Partitions of a shuffle that small ones are put together from; fewer would make larger pieces.
+PARTITIONS = 200
 
 
 def at_once(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]]) -> Tables:
@@ -148,13 +150,22 @@ def gold_layer(tables: LayerTables, slv: Tables, watch: Watch | None = None) ->
     return out | at_once(tables.spark, {name: write(name, df, "ano_base", [], ["cod_ibge"] if "cod_ibge" in df.columns else []) for name, df in reports.items()})
 
 
+def small_tasks(tables: LayerTables) -> dict[str, str]:
+    """Session settings by which a task of a build takes a bounded piece."""
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": PIECE, "spark.sql.files.maxPartitionBytes": SPLIT}
+    if not tables.buckets:  # tables in fewer buckets would be shuffled to the larger number
+        number = max(PARTITIONS, int(tables.spark.conf.get("spark.sql.shuffle.partitions")))
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(number)
+    return conf
+
+
 def build_all(tables: LayerTables, raw: Tables, ano: int | None = None, gates: bool = True) -> Tables:
     """Raw tables -> bronze -> silver -> gold -> insights.
 
     A failed gate raises and leaves the layers before it as they are. The counters
     of a gate come with the writes of its layer.
     """
-    with settings(tables.spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": PIECE, "spark.sql.files.maxPartitionBytes": SPLIT}):
+    with settings(tables.spark, **small_tasks(tables)):
         watches = {"silver": Watch(SILVER), "gold": Watch(GOLD)} if gates else {}
         brz = bronze_layer(raw)
         if gates:

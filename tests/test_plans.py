@@ -270,11 +270,11 @@ def test_files_to_gold(spark, tmp_path):
 
 
 def test_a_build_bounds_what_a_task_takes_and_restores_the_session(spark, monkeypatch):
-    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
-    before, seen = [spark.conf.get(n) for n in names], []
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before, seen = [spark.conf.get(n, None) for n in names], []
 
     def step(*_):
-        seen.append([spark.conf.get(n) for n in names])
+        seen.append([spark.conf.get(n, None) for n in names])
         return {}
 
     for layer in ("silver_layer", "gold_layer"):
@@ -282,5 +282,5 @@ def test_a_build_bounds_what_a_task_takes_and_restores_the_session(spark, monkey
     monkeypatch.setattr(build, "bronze_layer", step)
     monkeypatch.setattr(build.insights, "save_insights", lambda *_: step() or None)
     build.build_all(LayerTables(spark, "/nowhere"), {}, gates=False)
-    assert seen == [[build.PIECE, build.SPLIT]] * 4
-    assert [spark.conf.get(n) for n in names] == before
+    assert seen == [[build.PIECE, build.SPLIT, str(build.PARTITIONS)]] * 4
+    assert [spark.conf.get(n, None) for n in names] == before
