@@ -24,7 +24,7 @@ Tables = dict[str, DataFrame]
 #: rows that are sorted, about ten times as large: with Spark's 64 MB larger inputs spill.
 PIECE = "4m"
 #: Bytes of a stored table that a task of a build reads at once, for the same reason.
-SPLIT = "16m"
+SPLIT = "4m"
 #: Partitions of a shuffle that small ones are put together from; fewer would make larger pieces.
 PARTITIONS = 200
 
